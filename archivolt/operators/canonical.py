@@ -1,0 +1,168 @@
+"""Mapping free-entered values to the closest entry of a reference list, in SQL only.
+
+A value is first reduced to a plain form (case, spacing, decoration, inverted order, look-alike digits). Plain
+forms equal to a label map at once. The others go through a partition-based join: a label that may differ by k
+edits is cut into k+1 segments, one of which a matching value must hold unchanged near its place, so an equality join
+on (field, label length, segment number, substring) finds every candidate; Spark's levenshtein verifies it.
+What no label reaches comes out through an anti-join with term 0.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from archivolt.functions.text import filled
+from archivolt.session import cut
+
+#: What people add around a term, as (pattern, replacement) on the lower-case value, applied in order.
+DECORATION: tuple[tuple[str, str], ...] = (
+    (r"[\\s\\u00a0\\u2000-\\u200b\\u202f\\u3000\\ufeff]+", " "),
+    (r"^([a-z]{2})[-_][a-z0-9]{2,8}$", "$1"),  # language tag with region
+    (r"^[a-z]+ ?: ", ""),  # "lang: ..."
+    (r"( ?[(\\[{][^)\\]}]*[)\\]}])+ ?[.?!]*$", ""),  # "... (signed)", "... [digitised]"
+    (r" [-\\u2013\\u2014] .*$", ""),  # "... - copy"
+    (r" (no|nr|vol|pt)[.]? ?[0-9]+$", ""),  # "... no. 6"
+    (r"^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", ""),
+    (r"^([^,]+), ([^,]+)$", "$2 $1"),  # "minutes, council"
+    (r"(?<=\\p{L})0|0(?=\\p{L})", "o"),
+    (r"(?<=\\p{L})1|1(?=\\p{L})", "l"),
+    (r"(?<=\\p{L})0|0(?=\\p{L})", "o"),
+    (r"[_/-]+|[.](?! )", " "),
+    (r" +", " "),
+)
+
+#: Words that only say that a language follows or preceded.
+LANGUAGE_WORDS: tuple[tuple[str, str], ...] = ((r"^in (?=.)", ""), (r"(?<=.) language$", ""))
+
+
+def _plain(value: str, rules: Sequence[tuple[str, str]]) -> str:
+    out = f"lower({value})"
+    for pattern, into in rules:
+        out = f"regexp_replace({out}, '{pattern}', '{into}')"
+    # braces are doubled, as spark.sql formats the text
+    return f"trim({out})".replace("{", "{{").replace("}", "}}")
+
+
+#: Edits allowed by label length: none below 4, one operation below 8, else two. A swap of neighbours is one
+#: operation but two edits, so the join runs with twice the operations.
+EDITS = "CASE WHEN length(plain) < 4 THEN 0 WHEN length(plain) < 8 THEN 1 ELSE 2 END"
+
+_LABELS = """
+SELECT DISTINCT field_name, term_id, plain, ops, 2 * ops AS k, length(plain) AS len FROM (
+  SELECT field_name, term_id, plain, {edits} AS ops FROM (
+    SELECT field_name, term_id, {plain} AS plain
+    FROM (SELECT field_name, term_id, explode(array_compact(concat(array(term), coalesce(alt_labels, array())))) AS label FROM {{vocabulary}})))
+WHERE plain <> ''
+"""
+
+_VALUES = """
+SELECT field_name, cell, plain, length(plain) AS n FROM (
+  SELECT field_name, cell, {plain} AS plain FROM (SELECT DISTINCT field_name, cell FROM {{cells}}))
+"""
+
+_SAME = """
+SELECT v.field_name, v.cell, l.term_id, 0 AS cost, 0 AS edits
+FROM {values} v JOIN {labels} l ON v.field_name = l.field_name AND v.plain = l.plain
+"""
+
+# "coun. minutes": words that end in a dot are beginnings of the label's words at the same place
+_SHORTENED = """
+SELECT v.field_name, v.cell, l.term_id, 1 AS cost, 0 AS edits
+FROM (SELECT *, split(plain, ' ') AS words FROM {values} WHERE plain RLIKE '[.]( |$)') v
+JOIN (SELECT *, split(plain, ' ') AS words FROM {labels}) l
+  ON v.field_name = l.field_name AND size(v.words) = size(l.words) AND substring(v.plain, 1, 2) = substring(l.plain, 1, 2)
+WHERE forall(zip_with(v.words, l.words, (a, b) -> CASE WHEN a LIKE '%.' THEN startswith(b, rtrim('.', a)) ELSE a = b END), x -> x)
+"""
+
+# segment i of k+1: the last (len mod (k+1)) ones are one character longer
+_SEGMENTS = """
+SELECT field_name, term_id, plain, ops, k, len, i, p, substring(plain, p, w) AS segment, w FROM (
+  SELECT *, 1 + (i - 1) * floor(len / (k + 1)) + greatest(0, i - 1 - (k + 1 - len % (k + 1))) AS p,
+    floor(len / (k + 1)) + CASE WHEN i > k + 1 - len % (k + 1) THEN 1 ELSE 0 END AS w
+  FROM (SELECT *, explode(sequence(1, k + 1)) AS i FROM {labels} WHERE k > 0))
+"""
+
+# a segment's place can shift by the edits before it and must leave room for those after it
+_PROBES = """
+SELECT field_name, cell, plain, len, i, substring(plain, place, w) AS segment FROM (
+  SELECT *, explode(sequence(greatest(1, p - (i - 1), p + n - len - (k + 1 - i)), least(n - w + 1, p + (i - 1), p + n - len + (k + 1 - i)))) AS place
+  FROM (
+    SELECT v.field_name, v.cell, v.plain, v.n, s.len, s.k, s.i, s.p, s.w
+    FROM {open} v JOIN (SELECT DISTINCT field_name, len, k, i, p, w FROM {segments}) s
+      ON v.field_name = s.field_name AND v.n BETWEEN s.len - s.k AND s.len + s.k)
+  WHERE greatest(1, p - (i - 1), p + n - len - (k + 1 - i)) <= least(n - w + 1, p + (i - 1), p + n - len + (k + 1 - i)))
+"""
+
+# edits that keep the letters come in pairs, as a swap: operations = (edits + letters changed) / 2
+_CLOSE = """
+SELECT field_name, cell, term_id, cast(ceil((edits + bag) / 2) AS int) AS cost, edits FROM (
+  SELECT *, greatest(
+      aggregate(array_distinct(split(plain, '')), 0, (s, c) -> s + greatest(0, {count_plain} - {count_label})),
+      aggregate(array_distinct(split(label, '')), 0, (s, c) -> s + greatest(0, {count_label} - {count_plain}))) AS bag
+  FROM (
+    SELECT *, levenshtein(plain, label, k) AS edits FROM (
+      SELECT DISTINCT p.field_name, p.cell, p.plain, s.term_id, s.plain AS label, s.ops, s.k
+      FROM {{probes}} p JOIN {{segments}} s
+        ON p.field_name = s.field_name AND p.len = s.len AND p.i = s.i AND p.segment = s.segment))
+  WHERE edits >= 0)
+WHERE ceil((edits + bag) / 2) <= ops
+""".format(
+    count_plain="(length(plain) - length(replace(plain, c, '')))", count_label="(length(label) - length(replace(label, c, '')))"
+)
+
+_BEST = """
+SELECT field_name, cell, min_by(term_id, struct(cost, edits, term_id)) AS term_id FROM (
+  SELECT * FROM {same} UNION ALL SELECT * FROM {near})
+GROUP BY field_name, cell
+"""
+
+_MAPPED = """
+SELECT field_name, cell, term_id FROM {best}
+UNION ALL
+SELECT v.field_name, v.cell, CAST(0 AS BIGINT) AS term_id FROM {values} v
+LEFT ANTI JOIN {best} b ON v.field_name = b.field_name AND v.cell = b.cell
+"""
+
+
+def map_values(cells: DataFrame, vocabulary: DataFrame, rules: Sequence[tuple[str, str]] = DECORATION + LANGUAGE_WORDS) -> DataFrame:
+    """Term of every distinct (field_name, cell): field_name, cell, term_id, with 0 where none is close enough.
+
+    ``vocabulary`` has field_name, term_id, term and alt_labels (array, may be null). Of several close terms the one
+    with the fewest operations wins, then the fewest edits, then the smallest term_id. Cells that are null or blank
+    must be taken out before; an empty vocabulary maps everything to 0.
+    """
+    spark = cells.sparkSession
+    # both sides hold each text once, however often it was typed; cut, as five branches read them
+    labels = cut(spark.sql(_LABELS.format(edits=EDITS, plain=_plain("label", rules)), vocabulary=vocabulary))
+    values = cut(spark.sql(_VALUES.format(plain=_plain("cell", rules)), cells=cells))
+    same = cut(
+        spark.sql(_SAME, values=values, labels=labels).unionByName(spark.sql(_SHORTENED, values=values, labels=labels))
+    )
+    still_open = spark.sql("SELECT * FROM {values} v LEFT ANTI JOIN {same} s ON v.field_name = s.field_name AND v.cell = s.cell", values=values, same=same)
+    segments = spark.sql(_SEGMENTS, labels=labels)
+    probes = spark.sql(_PROBES, open=still_open, segments=segments)
+    near = spark.sql(_CLOSE, probes=probes, segments=segments)
+    best = spark.sql(_BEST, same=same, near=near)
+    return spark.sql(_MAPPED, best=best, values=values)
+
+
+def map_free_values(df: DataFrame, key: str, fields: Sequence[str], vocabulary: DataFrame) -> DataFrame:
+    """One row (key, field_name, term_id) per filled cell of ``fields`` that isn't exactly a term of its field."""
+    spark = df.sparkSession
+    cells = df.select(
+        key, F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("cell")) for f in fields])).alias("_c")
+    ).select(F.col(key).alias("_key"), "_c.field_name", "_c.cell").where(filled(F.col("cell")))
+    typed = spark.sql(
+        "SELECT c.* FROM {cells} c LEFT ANTI JOIN {vocabulary} v ON c.field_name = v.field_name AND c.cell = v.term",
+        cells=cells,
+        vocabulary=vocabulary,
+    )
+    mapped = map_values(typed, vocabulary)
+    return spark.sql(
+        "SELECT t._key, t.field_name, m.term_id FROM {typed} t JOIN {mapped} m ON t.field_name = m.field_name AND t.cell = m.cell",
+        typed=typed,
+        mapped=mapped,
+    ).withColumnRenamed("_key", key)
