@@ -97,6 +97,29 @@ def count_tokens(documents: DataFrame, doc_id: str, text: str, path: str = TOKEN
     return documents.select(F.col(doc_id).cast("long").alias("item"), F.col(text).alias("text")).mapInPandas(run, "item long, size int")
 
 
+def _merger(turn: int, last: bool, most_open: int):
+    """Packs the items of several partitions' open containers anew, largest first."""
+
+    def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        kind, group = key
+        capacity = int(rows.capacity.iloc[0])
+        rows = rows.sort_values(["size", "item", "part"], ascending=[False, True, True])
+        packer = Packer(capacity, len(rows) + 1)
+        out: list[tuple] = []
+        name = lambda c: f"{kind}-{turn}-{group}-{c}"
+        for place in zip(rows["item"], rows["part"], rows["start"], rows["size"]):
+            for container, content in packer.add(place):
+                out += _rows(kind, name(container), capacity, False, content)
+        open_now = packer.leftovers()
+        for n, (room, container, content) in enumerate(open_now):
+            # the emptiest stay open for the next round, at most as many as a partition keeps
+            keep = not last and room > capacity * (1 - FULL) and n >= len(open_now) - most_open
+            out += _rows(kind, name(container), capacity, keep, content)
+        return pd.DataFrame(out, columns=_COLUMNS).assign(task=group)
+
+    return merge
+
+
 def pack(sizes: DataFrame, capacities: dict[str, int], most_open: int = OPEN) -> DataFrame:
     """Containers for items of (item, size): container_kind, container_id, item, part, start, size.
 
@@ -128,29 +151,11 @@ def pack(sizes: DataFrame, capacities: dict[str, int], most_open: int = OPEN) ->
     groups, turn = packed.rdd.getNumPartitions(), 0
     while groups > 1:
         groups, turn = -(-groups // FAN_IN), turn + 1
-        last = groups == 1
-
-        def merge(key: tuple, rows: pd.DataFrame, turn=turn, last=last) -> pd.DataFrame:
-            kind, group = key
-            capacity = int(rows.capacity.iloc[0])
-            rows = rows.sort_values(["size", "item", "part"], ascending=[False, True, True])
-            packer = Packer(capacity, len(rows) + 1)
-            out: list[tuple] = []
-            name = lambda c: f"{kind}-{turn}-{group}-{c}"
-            for place in zip(rows["item"], rows["part"], rows["start"], rows["size"]):
-                for container, content in packer.add(place):
-                    out += _rows(kind, name(container), capacity, False, content)
-            open_now = packer.leftovers()
-            for n, (room, container, content) in enumerate(open_now):
-                # the emptiest stay open for the next round, at most as many as a partition keeps
-                keep = not last and room > capacity * (1 - FULL) and n >= len(open_now) - most_open
-                out += _rows(kind, name(container), capacity, keep, content)
-            return pd.DataFrame(out, columns=_COLUMNS)
-
-        merged = left.withColumn("group", F.floor(F.col("task") / FAN_IN).cast("int")).groupBy("kind", "group").applyInPandas(
-            lambda key, rows, merge=merge: merge(key, rows).assign(task=key[1]), _SCHEMA + ", task int"
+        merged = cut(
+            left.withColumn("group", F.floor(F.col("task") / FAN_IN).cast("int"))
+            .groupBy("kind", "group")
+            .applyInPandas(_merger(turn, groups == 1, most_open), _SCHEMA + ", task int")
         )
-        merged = cut(merged)
         done.append(merged.where("NOT open").drop("task"))
         left = merged.where("open")
     done.append(left.drop("task"))
