@@ -26,7 +26,9 @@ RIGHT = ("utf-8", "cp1252", "cp1250", "iso8859-2", "mac_roman", "cp850")
 #: A pair below this information is ordinary; a pair of ASCII characters takes so much from a segment.
 ORDINARY_BITS, ASCII_BITS = 10.0, 1.5
 #: Bits a mapping must gain in a segment: multi-byte sequences prove much by being valid, single bytes nothing.
-GAIN_UTF8, GAIN_SINGLE = 4.0, 12.0
+GAIN_UTF8, GAIN_SINGLE = 4.0, 8.5
+#: Bits that speak against text having been written in an encoding, beside the two usual ones.
+UNUSUAL = {"cp1250": 6.0, "iso8859-2": 6.0, "mac_roman": 6.0, "cp850": 6.0}
 #: Pairs sent to every task at most. Their number follows from the alphabets of a corpus, not from its size.
 MOST_PAIRS = 3_000_000
 
@@ -220,7 +222,7 @@ class Repairer:
                 for mapping, (gain, _) in z.gains.items():
                     # a single-byte reading holds for every character of a passage, so losses count too
                     if gain > 0 or mapping[1] != "utf-8":
-                        total[mapping] = total.get(mapping, 0.0) + gain
+                            total[mapping] = total.get(mapping, -UNUSUAL.get(mapping[1], 0.0)) + gain
             parts.append((inside, total))
             held = [(g, m) for m, g in total.items() if g >= (GAIN_UTF8 if m[1] == "utf-8" else GAIN_SINGLE)]
             if held:
