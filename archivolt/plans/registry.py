@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from archivolt.plans import problems, problems_sql
+from archivolt.plans import captures, problems, problems_sql, quality, tables, trees
+
+_PARTS = (captures.query, tables.query, trees.query, quality.query)
 
 QUERIES = {**problems.QUERIES}
 ORACLE = {**problems_sql.ORACLE}
+for _part in _PARTS:
+    QUERIES |= _part.queries
+    ORACLE |= _part.oracle
