@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from archivolt.functions.text import filled
 
-DATE_SHAPE = r"^[0-9]{4}(-[0-9]{2}(-[0-9]{2})?)?\z"
+DATE_SHAPE = r"^(?!0000)[0-9]{4}(-[0-9]{2}(-[0-9]{2})?)?\z"
 
 
 def partial_date_year(value: Column) -> Column:

@@ -177,7 +177,10 @@ def reconcile_buckets(sets_a: Sequence[np.ndarray], sets_b: Sequence[np.ndarray]
     only_a, only_b = [np.zeros(0, np.uint64)] * n, [np.zeros(0, np.uint64)] * n
     todo, bound = np.arange(n), FIRST_BOUND
     while len(todo):
-        # a bound as large as both sets says nothing more: with one side empty all elements are differences
+        # a bound beyond both sets says nothing more; only an element that is zero or an evaluation point comes so far
+        for i in todo[na[todo] + nb[todo] + 2 < bound // 2]:
+            only_a[i], only_b[i] = np.setdiff1d(sets_a[i], sets_b[i]), np.setdiff1d(sets_b[i], sets_a[i])
+        todo = todo[na[todo] + nb[todo] + 2 >= bound // 2]
         for chunk in np.array_split(todo, max(1, len(todo) * bound * bound // 2_000_000)):
             a, b = cat([sets_a[i] for i in chunk]), cat([sets_b[i] for i in chunk])
             ia, ib = np.repeat(np.arange(len(chunk)), na[chunk]), np.repeat(np.arange(len(chunk)), nb[chunk])
@@ -209,7 +212,7 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def element(columns: Sequence[Column]) -> Column:
     """Row hash as an element of the field; a null and an empty text differ from each other and from any other value."""
     parts = [F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-")) for c in columns]
-    return F.pmod(F.xxhash64(*parts), F.lit(_P))
+    return F.pmod(F.xxhash64(*parts), F.lit(_P - 1)) + 1
 
 
 def set_difference(a: DataFrame, b: DataFrame, h: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:

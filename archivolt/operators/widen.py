@@ -139,13 +139,14 @@ def stitch(cells: DataFrame, attributes: list[Attribute], block: int = BLOCK) ->
 
     A single-valued attribute with two or more different values is null and has the issue conflict; one that has
     terms but no readable value is null and has the issue unreadable. Multi-valued columns hold the sorted different
-    values. An entity none of whose terms is readable keeps its row.
+    values. An entity none of whose terms is readable keeps its row, one without any filled term has none.
     """
     ordinals = with_ordinals(cells.select("entity").distinct(), "entity")
     placed = cells.join(ordinals, "entity").select(
         F.floor(F.col("ordinal") / block).alias("block"), (F.col("ordinal") % block).cast("int").alias("place"), "entity", "attribute", "value", "shown"
     )
-    schema = "entity string, " + ", ".join(f"`{a.name}` {'array<string>' if a.multi_valued else 'string'}" for a in attributes) + ", issues array<struct<attribute:string,issue:string>>"
+    columns = [f"`{a.name}` {'array<string>' if a.multi_valued else 'string'}" for a in attributes]
+    schema = ", ".join(["entity string", *columns, "issues array<struct<attribute:string,issue:string>>"])
 
     def assemble(rows: pd.DataFrame) -> pd.DataFrame:
         n = int(rows.place.max()) + 1
