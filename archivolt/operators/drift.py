@@ -113,8 +113,9 @@ def rename_evidence(files: DataFrame, cells: DataFrame, asset_field: str = "asse
             .distinct()
         )
 
-    gone = changed(F.array_except("then", "now"), "before").withColumnRenamed("field", "field_before")
-    come = changed(F.array_except("now", "then"), "file_name").withColumnRenamed("field", "field_after")
+    # both are read several times below and hold only the fields that changed
+    gone = cut(changed(F.array_except("then", "now"), "before").withColumnRenamed("field", "field_before"))
+    come = cut(changed(F.array_except("now", "then"), "file_name").withColumnRenamed("field", "field_after"))
     both = gone.select("_pair", "asset").distinct().join(come.select("_pair", "asset").distinct(), ["_pair", "asset"])
     gone, come = gone.join(both, ["_pair", "asset"]), come.join(both, ["_pair", "asset"])
     n_gone = gone.groupBy("_pair", "field_before").agg(F.count(F.lit(1)).alias("n_before"))

@@ -15,15 +15,12 @@ def sitemap_entries(spark: SparkSession, path: str) -> DataFrame:
     """Entries of sitemaps and sitemap indexes: sitemap, kind (url or sitemap), loc."""
     text = spark.read.text(path, wholetext=True).select(F.regexp_replace(F.input_file_name(), r"^.*/", "").alias("sitemap"), "value")
     body = F.regexp_replace("value", r"(?s)<!--.*?-->", "")
-    kinds = F.array(
-        *[
-            F.transform(
-                F.regexp_extract_all(body, F.lit(rf"(?s)<(?:\w+:)?{kind}\b[^>]*>\s*<(?:\w+:)?\w+[^>]*>\s*([^<]*?)\s*</"), F.lit(1)),
-                lambda loc, kind=kind: F.struct(F.lit(kind).alias("kind"), loc.alias("loc")),
-            )
-            for kind in ("url", "sitemap")
-        ]
-    )
+
+    def entries(kind: str) -> Column:
+        locs = F.regexp_extract_all(body, F.lit(rf"(?s)<(?:\w+:)?{kind}\b[^>]*>\s*<(?:\w+:)?\w+[^>]*>\s*([^<]*?)\s*</"), F.lit(1))
+        return F.transform(locs, lambda loc: F.struct(F.lit(kind).alias("kind"), loc.alias("loc")))
+
+    kinds = F.array(entries("url"), entries("sitemap"))
     return text.select("sitemap", F.explode(F.flatten(kinds)).alias("e")).select("sitemap", "e.kind", F.replace("e.loc", F.lit("&amp;"), F.lit("&")).alias("loc")).where("loc <> ''")
 
 
