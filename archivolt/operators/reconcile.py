@@ -90,21 +90,15 @@ def missing_keeping_rows(rows: DataFrame, present: DataFrame, row_key: Column, p
 def contains_pairs(texts: DataFrame, text: str, needles: DataFrame, needle: str, least: int = 4) -> DataFrame:
     """Distinct (text, needle) where the text contains the needle, without trying all pairs.
 
-    Needles of a length are found by an equality join on the text's substrings of that length, so the work is the
-    texts' length times the number of needle lengths. Needles shorter than ``least`` characters are refused, as
-    nearly every text would contain them.
+    The first ``least`` characters of a needle meet the texts' substrings of that length in an equality join; what meets
+    is verified. Needles shorter than that are refused, as nearly every text would contain them.
     """
-    want = needles.select(F.col(needle).alias("needle")).where(F.length("needle") >= least).distinct()
-    lengths = want.select(F.length("needle").alias("w")).distinct().agg(F.sort_array(F.collect_set("w")).alias("ws"))
-    grams = (
-        texts.select(F.col(text).alias("text")).distinct()
-        .join(F.broadcast(lengths))  # one row
-        .select("text", F.explode("ws").alias("w"))
-        .where(F.length("text") >= F.col("w"))
-        .select("text", F.explode(F.transform(F.sequence(F.lit(1), F.length("text") - F.col("w") + 1), lambda i: F.substr(F.col("text"), i, F.col("w")))).alias("needle"))
-        .distinct()
-    )
-    return grams.join(want, "needle").select("text", "needle")
+    head = F.substring("needle", 1, least).alias("gram")
+    want = needles.select(F.col(needle).alias("needle")).where(F.length("needle") >= least).distinct().select("needle", head)
+    at = F.sequence(F.lit(1), F.length("text") - least + 1)
+    grams = F.array_distinct(F.transform(at, lambda i: F.substr(F.col("text"), i, F.lit(least))))
+    placed = texts.select(F.col(text).alias("text")).distinct().where(F.length("text") >= least).select("text", F.explode(grams).alias("gram"))
+    return placed.join(want, "gram").where(F.contains(F.col("text"), F.col("needle"))).select("text", "needle")
 
 
 def qa_rows(records: DataFrame, content: str = "payload", drop_fragments: bool = False) -> DataFrame:
