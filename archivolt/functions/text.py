@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: White space as Python's ``str.strip`` removes it; Spark's ``trim`` only removes blanks.
-SPACE = r"[\s\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u001c-\u001f]"
+#: White space as Python's ``str.strip`` removes it; Spark's ``trim`` by default only removes blanks.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(col: Column) -> Column:
     """``col`` without white space of any kind at both ends."""
-    return F.regexp_replace(col, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(col, F.lit(SPACES))
 
 
 def filled(col: Column) -> Column:

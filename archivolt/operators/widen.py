@@ -141,6 +141,7 @@ def stitch(cells: DataFrame, attributes: list[Attribute], block: int = BLOCK) ->
     terms but no readable value is null and has the issue unreadable. Multi-valued columns hold the sorted different
     values. An entity none of whose terms is readable keeps its row, one without any filled term has none.
     """
+    cells = cut(cells)  # dear to compute and read twice
     ordinals = with_ordinals(cells.select("entity").distinct(), "entity")
     placed = cells.join(ordinals, "entity").select(
         F.floor(F.col("ordinal") / block).alias("block"), (F.col("ordinal") % block).cast("int").alias("place"), "entity", "attribute", "value", "shown"
@@ -161,8 +162,13 @@ def stitch(cells: DataFrame, attributes: list[Attribute], block: int = BLOCK) ->
                 readable = part[part.value.notna()]
                 shown = readable.shown if a.value_type == "text" else readable.value
                 if a.multi_valued:
-                    for place, values in shown.groupby(readable.place):
-                        column[place] = sorted(values)
+                    values, places = shown.to_numpy(), readable.place.to_numpy()
+                    by_value = np.argsort(values, kind="stable")
+                    order = by_value[np.argsort(places[by_value], kind="stable")]
+                    values, places = values[order], places[order]
+                    first = np.flatnonzero(np.r_[True, places[1:] != places[:-1]]) if len(places) else []
+                    for start, end in zip(first, [*first[1:], len(places)]):
+                        column[places[start]] = values[start:end].tolist()
                 else:
                     places = readable.place.to_numpy()
                     count = np.bincount(places, minlength=n)
