@@ -91,13 +91,22 @@ def contains_pairs(texts: DataFrame, text: str, needles: DataFrame, needle: str,
     """Distinct (text, needle) where the text contains the needle, without trying all pairs.
 
     The first ``least`` characters of a needle meet the texts' substrings of that length in an equality join; what meets
-    is verified. Needles shorter than that are refused, as nearly every text would contain them.
+    is verified. A shorter needle meets the substrings of its own length; texts are cut into those lengths only that
+    needles have. The empty needle is in every text.
     """
-    head = F.substring("needle", 1, least).alias("gram")
-    want = needles.select(F.col(needle).alias("needle")).where(F.length("needle") >= least).distinct().select("needle", head)
-    at = F.sequence(F.lit(1), F.length("text") - least + 1)
-    grams = F.array_distinct(F.transform(at, lambda i: F.substr(F.col("text"), i, F.lit(least))))
-    placed = texts.select(F.col(text).alias("text")).distinct().where(F.length("text") >= least).select("text", F.explode(grams).alias("gram"))
+    want = needles.select(F.col(needle).alias("needle")).where("needle IS NOT NULL").distinct().select("needle", F.substring("needle", 1, least).alias("gram"))
+    lengths = sorted(r[0] for r in want.select(F.length("gram")).distinct().collect())  # 0 to least, so at most least + 1
+    if not lengths:
+        lengths = [least]
+
+    def grams(n: int) -> Column:
+        if n == 0:
+            return F.array(F.lit(""))
+        at = F.sequence(F.lit(1), F.length("text") - n + 1)
+        cut = F.transform(at, lambda i: F.substr(F.col("text"), i, F.lit(n)))
+        return F.when(F.length("text") >= n, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
+
+    placed = texts.select(F.col(text).alias("text")).where("text IS NOT NULL").distinct().select("text", F.explode(F.concat(*map(grams, lengths))).alias("gram"))
     return placed.join(want, "gram").where(F.contains(F.col("text"), F.col("needle"))).select("text", "needle")
 
 
