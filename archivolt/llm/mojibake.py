@@ -1,6 +1,7 @@
 """Text decoded with the wrong character encoding: finding it and restoring the original.
 
-Three steps. (1) One pass counts adjacent character pairs with a character beyond ASCII over the whole corpus. (2) In
+Three steps. (1) One pass counts adjacent character pairs with a character beyond ASCII over the whole corpus. Runs that
+by their structure are UTF-8 read wrongly aren't counted, so frequent garbling doesn't become ordinary. (2) In
 each text, a pair is scored by its information, -log2 p(a, b): the mutual information of the pair against that of
 its characters, so rare neighbours score high; maximum-scoring segments isolate the improbable runs. (3) Only inside those,
 inverse mappings are tried: encode with the encoding that was wrongly used, decode with the right one. A mapping holds where
@@ -88,18 +89,65 @@ def remap(run: str, wrong: str, right: str) -> str | None:
 MAPPINGS = [(w, r) for r in RIGHT for w in WRONG if w != r]
 
 
+#: Characters that in text, too, may follow those that stand for Latin letters; one run with them proves nothing, two different ones do.
+AMBIGUOUS = {"mac_roman": set("πµΩ∂∑∫∞"), "cp1251": set("«»–—…“”„‘’№ёЁ·•§\xa0"), "koi8-r": set("ёЁ")}
+_SEVERAL = re.compile(r"[^\x00-\x7f]{2,}")
+
+
+def _telling(encoding: str) -> re.Pattern:
+    """Sequences of Latin letters and usual punctuation, or three of any kind in a row."""
+    t = [re.escape(c) for c in TABLES[encoding]]
+    chars = lambda lo, hi: "[" + "".join(t[lo : hi + 1]) + "]"
+    latin = f"{t[0xC2]}{chars(0xA0, 0xBF)}|{t[0xC3]}{chars(0x80, 0xBF)}"
+    usual = f"{t[0xE2]}(?:{t[0x80]}{chars(0x90, 0xBF)}|{t[0x82]}{t[0xAC]}|{t[0x84]}{t[0xA2]})"
+    return re.compile(f"(?:{latin}|{usual})+|(?:{SEQUENCES[encoding].pattern}){{3,}}")
+
+
+TELLING = {e: _telling(e) for e in WRONG}
+WHOLE = {e: re.compile(f"(?:{SEQUENCES[e].pattern})+") for e in WRONG}
+
+
+def _readings(run: str) -> tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...]]:
+    """Encodings in which a run is UTF-8 from end to end; of these, those it proves and those it proves with another run."""
+    whole = [e for e in WRONG if WHOLE[e].fullmatch(run)]
+    told = [e for e in whole if TELLING[e].fullmatch(run)]
+    weak = tuple(e for e in told if len(run) == 2 and run[1] in AMBIGUOUS.get(e, ()))
+    return tuple(whole), tuple(e for e in told if e not in weak), weak
+
+
+def without_misread(text: str, known: dict) -> str:
+    """``text`` without the runs that by their structure are UTF-8 read wrongly. ``known`` keeps the readings of runs."""
+    runs = set(_SEVERAL.findall(text))
+    if not runs:
+        return text
+    if len(known) > 500_000:  # only a cache
+        known.clear()
+    proven, weak = set(), []
+    for r in runs:
+        if r not in known:
+            known[r] = _readings(r)
+        proven.update(known[r][1])
+        weak += known[r][2]
+    proven.update(e for e in weak if weak.count(e) > 1)
+    if not proven:
+        return text
+    return _SEVERAL.sub(lambda m: m.group() if proven.isdisjoint(known[m.group()][0]) else "", text)
+
+
 def count_pairs(documents: DataFrame, text: str = "text") -> DataFrame:
     """Corpus counts: a, b (code points), n. b is -1 in the counts of single characters, a and b are -1 in the total.
 
-    Pairs have at least one character beyond ASCII. Counting is vectorised per Arrow batch and summed in Spark.
+    Pairs have at least one character beyond ASCII. Counting is vectorised per Arrow batch and summed in Spark. Runs that
+    are wrongly read UTF-8 by their structure are left out.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pairs: dict[int, int] = {}
         singles = np.zeros(0x110000, dtype=np.int64)
+        known: dict = {}
         for b in batches:
             for t in np.array_split(b.text.dropna().to_numpy(), max(1, len(b) // 200)):
-                codes = np.frombuffer("\n".join(t).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+                codes = np.frombuffer("\n".join(x if x.isascii() else without_misread(x, known) for x in t).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
                 if not len(codes):
                     continue
                 singles += np.bincount(codes, minlength=0x110000) if len(codes) > 200_000 else 0

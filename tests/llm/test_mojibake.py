@@ -87,3 +87,17 @@ def test_table(spark):
     assert set(got) == {10_000 + i for i in range(len(BROKEN))}
     assert all(got[10_000 + i].restored_text == t and got[10_000 + i].fully_restored for i, (t, _) in enumerate(BROKEN))
     assert M.find_garbled(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("way", ["cp1252", "cp850", "mac_roman", "cp1251"])
+@pytest.mark.parametrize("share", [3, 2])
+def test_frequent_garbling_stays_a_case(spark, way, share):
+    texts = [text(1) for _ in range(600)] + ["Fee of £5", "Où est-il né", "größer"] * 20
+    rows = [(i, garble(t, way, "utf-8") if i % share == 0 else t) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.restored_text for r in M.find_garbled(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: texts[i] for i, t in rows if t != texts[i]}
+
+
+def test_symbols_that_look_like_sequences_are_counted():
+    for t in ("4000 Å–7000 Å", "√π", "пункты А и В»", "её мнение", "l’été", "CAFÉ»"):
+        assert M.without_misread(t, {}) == t
