@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from archivolt.operators import report
+from archivolt.operators.pivot import xml_escape
 from archivolt.plans.base import Registry
 from archivolt.rules import metadata as rules
 from archivolt.session import scratch_path, table
@@ -111,12 +112,12 @@ def folder_descriptions(spark, d):
     )
 
 
-_PAGE = "'<html><head><title>' || coalesce(entity_title, '') || '</title></head><body><div class=\"more-link extra\"><a href=\" /a/' || record_id || '\">x</a><a>y</a></div></body></html>'"
+_PAGE = "'<html><head><title>' || escaped_title || '</title></head><body><div class=\"more-link extra\"><a href=\" /a/' || record_id || '\">x</a><a>y</a></div></body></html>'"
 
 
 def _pages(spark, d):
     html = F.expr(_PAGE.replace('\\"', '"'))
-    rows = table(spark, d, "metadata_export").where("entity_title IS NULL OR NOT (entity_title LIKE '%<%' OR entity_title LIKE '%&%')")
+    rows = table(spark, d, "metadata_export").withColumn("escaped_title", xml_escape(F.coalesce("entity_title", F.lit(""))))
     return rows.select("record_id", html.alias("html"), "entity_title")
 
 
@@ -136,8 +137,8 @@ def html_predicates(spark, d):
 @query("SELECT DISTINCT dc_type AS value FROM metadata_export WHERE trim(dc_type) <> '' AND NOT (dc_type LIKE '%<%' OR dc_type LIKE '%&%') AND dc_type = trim(dc_type, '  \n\t')")
 def html_table_column(spark, d):
     """Distinct cells of one column of the pages' tables."""
-    rows = table(spark, d, "metadata_export").where("trim(dc_type) <> '' AND NOT (dc_type LIKE '%<%' OR dc_type LIKE '%&%') AND dc_type = trim(BOTH '  \n\t' FROM dc_type)")
-    row = F.concat(F.lit("<table><tr><th>a</th><th>b</th></tr><tr><td>"), F.col("record_id").cast("string"), F.lit("</td><td>"), F.col("dc_type"), F.lit("</td></tr></table>"))
+    rows = table(spark, d, "metadata_export").where("dc_type IS NOT NULL")
+    row = F.concat(F.lit("<table><tr><th>a</th><th>b</th></tr><tr><td>"), F.col("record_id").cast("string"), F.lit("</td><td>"), xml_escape(F.col("dc_type")), F.lit("</td></tr></table>"))
     return html_pages.table_column(rows.select(F.col("record_id").cast("string").alias("url"), row.alias("html")), 1, 2)
 
 
@@ -162,8 +163,9 @@ FROM metadata_export WHERE NOT (coalesce(dc_title, '') LIKE '%<%' OR coalesce(dc
 )
 def xml_fields(spark, d):
     """Values by element name of XML fragments."""
-    xml = F.concat(F.lit('<oai_dc:dc xmlns:dc="u"><dc:title>'), F.coalesce("dc_title", F.lit("")), F.lit("</dc:title><dc:date>"), F.coalesce("dc_date", F.lit("")), F.lit("</dc:date></oai_dc:dc>"))
-    rows = table(spark, d, "metadata_export").where("NOT (coalesce(dc_title, '') LIKE '%<%' OR coalesce(dc_title, '') LIKE '%&%')")
+    text = lambda c: xml_escape(F.coalesce(c, F.lit("")))
+    xml = F.concat(F.lit('<oai_dc:dc xmlns:dc="u"><dc:title>'), text("dc_title"), F.lit("</dc:title><dc:date>"), text("dc_date"), F.lit("</dc:date></oai_dc:dc>"))
+    rows = table(spark, d, "metadata_export")
     values = xml_files.dc_values(xml, ["title", "date"])
     return rows.select("record_id", values.alias("v")).select("record_id", F.col("v")["title"].alias("titles"), F.col("v")["date"].alias("dates"))
 

@@ -73,8 +73,15 @@ def links(html: Column) -> Column:
 
 
 def title(html: Column) -> Column:
-    """Title of a page, null without one."""
-    return F.nullif(F.trim(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)), F.lit(""))
+    """Title of a page with its character references resolved, null without one."""
+
+    @F.pandas_udf("string")
+    def resolved(texts: pd.Series) -> pd.Series:
+        from html import unescape
+
+        return texts.map(lambda t: unescape(t) if t and "&" in t else t)
+
+    return F.nullif(F.trim(resolved(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))), F.lit(""))
 
 
 def table_rows(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:

@@ -32,11 +32,28 @@ def xml_items(spark: SparkSession, path: str, tag: str, first_item_fields: Seque
 
 
 def dc_values(xml: Column, elements: Sequence[str]) -> Column:
-    """Map of the given elements, by local name, to their filled texts in order."""
+    """Map of the given elements, by local name, to their filled texts in order, entities and character references resolved."""
+
+    @F.pandas_udf("array<string>")
+    def resolved(values: pd.Series) -> pd.Series:
+        import re
+
+        named = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+
+        def one(m):
+            n = m.group(1)
+            if n[0] != "#":
+                return named[n]
+            code = int(n[2:], 16) if n[1] == "x" else int(n[1:])
+            return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else m.group()
+
+        ref = re.compile("&(#x[0-9A-Fa-f]{1,8}|#[0-9]{1,8}|amp|lt|gt|quot|apos);")
+        return values.map(lambda vs: None if vs is None else [ref.sub(one, v) if "&" in v else v for v in vs])
+
     pairs = [
         F.struct(
             F.lit(e).alias("k"),
-            F.filter(F.transform(F.regexp_extract_all(xml, F.lit(rf"(?s)<(?:\w+:)?{e}(?:\s[^>]*)?>([^<]*)</"), F.lit(1)), lambda v: strip(v)), lambda v: v != "").alias("v"),
+            F.filter(F.transform(resolved(F.regexp_extract_all(xml, F.lit(rf"(?s)<(?:\w+:)?{e}(?:\s[^>]*)?>([^<]*)</"), F.lit(1))), lambda v: strip(v)), lambda v: v != "").alias("v"),
         )
         for e in elements
     ]
