@@ -104,25 +104,24 @@ def render_tree(nodes: DataFrame) -> DataFrame:
     return ranked.select(F.row_number().over(Window.orderBy("_order")).alias("line_no"), "line")
 
 
-def redirect_chains(hops: DataFrame, source: str, target: str, status: str, max_hops: int = 20) -> DataFrame:
+def redirect_chains(hops: DataFrame, source: str, target: str, status: str) -> DataFrame:
     """Chain of redirects from every address that redirects: url, hops (array of from, status, to), final_url, is_loop.
 
     ``hops`` has one hop per address; of several the smallest target counts. A chain ends where an address doesn't
-    redirect, would repeat, or after ``max_hops``.
+    redirect or would repeat; every round adds a hop to the live chains.
     """
     hop = hops.groupBy(F.col(source).alias("f")).agg(F.min_by(F.struct(F.col(status).alias("s"), F.col(target).alias("t")), F.struct(target, status)).alias("x")).select("f", "x.s", "x.t")
     hop = cut(hop.where("t IS NOT NULL"))
     step = F.struct(F.col("f").alias("from"), F.col("s").alias("status"), F.col("t").alias("to"))
     live = hop.select(F.col("f").alias("url"), F.array(step).alias("hops"), F.array("f", "t").alias("seen"), F.col("t").alias("at"))
     ended = []
-    for _ in range(max_hops):
+    while True:
         joined = cut(live.join(hop, live["at"] == hop["f"], "left").withColumn("loop", F.coalesce(F.array_contains("seen", F.col("t")), F.lit(False))))
         stop = F.col("f").isNull() | F.col("loop")
         ended.append(joined.where(stop).select("url", "hops", F.col("at").alias("final_url"), "loop"))
         live = joined.where(~stop).select("url", F.concat("hops", F.array(step)).alias("hops"), F.concat("seen", F.array("t")).alias("seen"), F.col("t").alias("at"))
         if live.isEmpty():
             break
-    ended.append(live.select("url", "hops", F.col("at").alias("final_url"), F.lit(False).alias("loop")))
     return reduce(lambda a, b: a.unionByName(b), ended).withColumnRenamed("loop", "is_loop")
 
 
