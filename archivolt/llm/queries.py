@@ -1,13 +1,22 @@
-"""Queries of the text problems 7 to 9, each over whole tables and whole texts."""
+"""Queries of the problems 5 and 7 to 9, each over whole tables and whole texts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from archivolt.llm import leak, mojibake, packing
+from archivolt.llm import canonical, leak, mojibake, packing, queries_sql
 from archivolt.session import table
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical.map_free_values(
+        table(spark, sf_dir, "metadata_export"),
+        "record_id",
+        ["icaew_content_type", "dc_type", "dc_language"],
+        table(spark, sf_dir, "vocabulary").select("field_name", "term_id", "term", "alt_labels"),
+    )
+
+
 def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "container_spec"))
 
@@ -28,5 +37,5 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_restored(spark, sf_dir).select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p7_packed, p8_found, p8_passages, p9_found, p9_restored)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p5_found, p7_packed, p8_found, p8_passages, p9_found, p9_restored)}
+ORACLE: dict[str, str] = {**queries_sql.ORACLE}
