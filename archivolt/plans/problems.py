@@ -1,4 +1,4 @@
-"""Queries of the general data problems 1 to 6, each over its whole tables."""
+"""Queries of the general data problems 1 to 4 and 6, each over its whole tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from archivolt.functions.text import blank_to_null, drop_extension
-from archivolt.operators import canonical, drift, profile, setrecon, unpack, widen
+from archivolt.operators import drift, profile, setrecon, unpack, widen
 from archivolt.session import scratch_path, table
 
 PROFILED = {
@@ -105,15 +105,6 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonical.map_free_values(
-        table(spark, sf_dir, "metadata_export"),
-        "record_id",
-        ["icaew_content_type", "dc_type", "dc_language"],
-        table(spark, sf_dir, "vocabulary").select("field_name", "term_id", "term", "alt_labels"),
-    )
-
-
 def p6_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = unpack.known_terms(table(spark, sf_dir, "subject_taxonomy"), "subject_term")
     return unpack.unpack_values(table(spark, sf_dir, "metadata_export"), "record_id", ["dc_subject", "dc_relation"], terms, ["dc_subject"])
@@ -125,5 +116,5 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_consistent, p2_found, p2_profile, p2_maintained, p3_found, p3_wide, p4_found, p5_found, p6_found, p6_values)
+    for f in (p1_found, p1_consistent, p2_found, p2_profile, p2_maintained, p3_found, p3_wide, p4_found, p6_found, p6_values)
 }

@@ -141,59 +141,4 @@ SELECT c.document, {", ".join(_p3_cell(n, k) for n, k in _P3_COLUMNS.items())},
 FROM cells c LEFT JOIN issues i ON c.document = i.document GROUP BY c.document
 """
 
-_P5_PLAIN = (
-    (r"[\s\x{00a0}\x{2000}-\x{200b}\x{202f}\x{3000}\x{feff}]+", " "),
-    (r"^([a-z]{2})[-_][a-z0-9]{2,8}$", r"\1"),
-    (r"^[a-z]+ ?: ", ""),
-    (r"( ?[(\[{][^)\]}]*[)\]}])+ ?[.?!]*$", ""),
-    (r" [-–—] .*$", ""),
-    (r" (no|nr|vol|pt)[.]? ?[0-9]+$", ""),
-    (r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""),
-    (r"^([^,]+), ([^,]+)$", r"\2 \1"),
-    (r"(\p{L})0", r"\1o"),
-    (r"0(\p{L})", r"o\1"),
-    (r"(\p{L})1", r"\1l"),
-    (r"1(\p{L})", r"l\1"),
-    (r"(\p{L})0", r"\1o"),
-    (r"0(\p{L})", r"o\1"),
-    (r"[_/-]+", " "),
-    (r"[.]([^ ])", r" \1"),
-    (r" +", " "),
-    (r"^in (.)", r"\1"),
-    (r"(.) language$", r"\1"),
-)
-
-
-def _p5_plain(column: str) -> str:
-    out = f"lower({column})"
-    for pattern, into in _P5_PLAIN:
-        out = f"regexp_replace({out}, '{pattern}', '{into}', 'g')"
-    return f"trim({out})"
-
-
-#: Brute force: every distinct plain value against every label of its field.
-P5_FOUND = rf"""
-WITH cells AS (
-  SELECT record_id, 'icaew_content_type' AS field_name, icaew_content_type AS cell FROM metadata_export
-  UNION ALL SELECT record_id, 'dc_type', dc_type FROM metadata_export UNION ALL SELECT record_id, 'dc_language', dc_language FROM metadata_export),
-typed AS (SELECT * FROM cells c WHERE trim(cell) <> '' AND NOT EXISTS (SELECT 1 FROM vocabulary v WHERE v.field_name = c.field_name AND v.term = c.cell)),
-labels AS (SELECT DISTINCT field_name, term_id, {_p5_plain('label')} AS label FROM (SELECT field_name, term_id, unnest(list_prepend(term, coalesce(alt_labels, []))) AS label FROM vocabulary)),
-texts AS (SELECT field_name, cell, {_p5_plain('cell')} AS plain FROM (SELECT DISTINCT field_name, cell FROM typed)),
-pairs AS (
-  SELECT v.*, l.term_id, l.label, levenshtein(plain, label) AS edits, CASE WHEN length(label) < 4 THEN 0 WHEN length(label) < 8 THEN 1 ELSE 2 END AS ops,
-    regexp_matches(plain, '[.]( |$)') AND len(string_split(plain, ' ')) = len(string_split(label, ' ')) AND plain[1:2] = label[1:2] AND len(list_filter(list_zip(string_split(plain, ' '), string_split(label, ' ')),
-      lambda x: NOT CASE WHEN x[1] LIKE '%.' THEN starts_with(x[2], rtrim(x[1], '.')) ELSE x[1] = x[2] END)) = 0 AS shortened
-  FROM texts v JOIN labels l ON v.field_name = l.field_name),
-costed AS (
-  SELECT *, CASE WHEN plain = label THEN 0 WHEN shortened THEN 1
-    ELSE ceil((edits + greatest(
-      list_sum(list_transform(list_distinct(string_split(plain, '')), lambda c: greatest(0, (length(plain) - length(replace(plain, c, ''))) - (length(label) - length(replace(label, c, '')))))),
-      list_sum(list_transform(list_distinct(string_split(label, '')), lambda c: greatest(0, (length(label) - length(replace(label, c, ''))) - (length(plain) - length(replace(plain, c, '')))))))) / 2) END AS cost
-  FROM pairs WHERE plain = label OR shortened OR edits <= 2 * ops),
-best AS (
-  SELECT field_name, cell, arg_min(term_id, (CASE WHEN plain = label OR shortened THEN 0 ELSE 1 END, cost, CASE WHEN plain = label OR shortened THEN 0 ELSE edits END, term_id)) AS term_id
-  FROM costed WHERE plain = label OR shortened OR (cost <= ops AND ops > 0) GROUP BY ALL)
-SELECT record_id, t.field_name, coalesce(b.term_id, 0) AS term_id FROM typed t LEFT JOIN best b ON t.field_name = b.field_name AND t.cell = b.cell
-"""
-
-ORACLE |= {"p3_wide": P3_WIDE, "p5_found": P5_FOUND}
+ORACLE |= {"p3_wide": P3_WIDE}
