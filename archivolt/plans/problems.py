@@ -23,9 +23,9 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = {"asset_id": "assetid", "total_metadata_fragments": "total_metadata_fragments", "dc_subject": "dc:subject"}
+    columns = {"asset_id": ("assetid", "string"), "total_metadata_fragments": ("total_metadata_fragments", "bigint"), "dc_subject": ("dc:subject", "array<string>")}
     wide = drift.consistent_table(table(spark, sf_dir, "export_line"), columns)
-    return wide.select("file_name", "line_no", "asset_id", "total_metadata_fragments", "dc_subject", F.size("others").alias("n_others"))
+    return wide.select("file_name", "line_no", *columns, F.coalesce(F.size("misfits"), F.lit(0)).alias("n_misfits"), F.size("others").alias("n_others"))
 
 
 def _described(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,14 +49,24 @@ def test_odd_input(spark):
 
 
 def test_consistent_table(spark):
-    b = ["assetid,keywords", "a1,x; y"]
+    b = ["assetid,keywords,size", "a1,x; y,7.0", "a1,,big"]
     c = ["assetid,topics", "a1,x|y"]
-    table = D.consistent_table(lines(spark, [("s", "f1", A), ("s", "f2", b), ("s", "f3", c)]), {"id": "assetid", "subject": "dc:subject"})
+    columns = {"id": ("assetid", "string"), "subject": ("dc:subject", "array<string>"), "size": ("size", "bigint")}
+    table = D.consistent_table(lines(spark, [("s", "f1", A), ("s", "f2", b), ("s", "f3", c)]), columns)
     got = {(r.file_name, r.line_no): r for r in table.collect()}
-    assert len(got) == 5
+    assert len(got) == 6
     for key in (("f1", 1), ("f2", 1), ("f3", 1)):
-        assert got[key].id == ["a1"] and got[key].subject == ["x", "y"]
-    assert got[("f1", 1)].others == {"size": ["10"], "note": ['one, "two"']}
+        assert got[key].id == "a1" and got[key].subject == ["x", "y"]
+    assert got[("f1", 1)].others == {"note": ['one, "two"']} and got[("f1", 1)].size == 10
+    assert got[("f2", 1)].size == 7 and got[("f2", 2)].size is None and got[("f2", 2)].misfits == {"size": ["big"]} and got[("f2", 2)].subject is None
+    assert D.consistent_table(lines(spark, [("s", "f", ["a"])]).limit(0), columns).count() == 0
+
+
+def test_names_that_come_back(spark):
+    """A name that was given up and comes back for something else is a field of its own until it's renamed."""
+    f = [["assetid,a,b", "1,x,q", "2,y,r"], ["assetid,b,a", "1,x,q", "2,y,r"], ["assetid,c,a", "1,x,q", "2,y,r"]]
+    table = D.consistent_table(lines(spark, [("s", f"f{i}", x) for i, x in enumerate(f)]), {"a": ("a", "string"), "b": ("b", "string")})
+    assert {(r.file_name, r.line_no): (r.a, r.b) for r in table.collect() if r.line_no == 1} == {("f0", 1): ("x", "q"), ("f1", 1): ("q", "x"), ("f2", 1): ("q", "x")}
 
 
 def test_records(spark):
@@ -74,7 +84,56 @@ def test_assignment_is_cheapest(cost):
     assert sum(cost[i][j] for i, j in enumerate(got)) == min(sum(cost[i][j] for i, j in enumerate(p)) for p in permutations(range(4)))
 
 
+def steps(*args, **more):
+    return [(s.op, s.before, s.after) for s in D.edit_script(*args, **more) if s.is_field]
+
+
 def test_script_prefers_evidence():
-    assert D.edit_script(["a", "b"], ["c", "d"], {("a", "d"): 0.9, ("b", "d"): 0.6}) == [("add", "", "c"), ("delete", "b", ""), ("rename", "a", "d")]
-    assert D.edit_script(["dc:s"], ["s"], {("dc:s", "s"): 1.0}) == [("move", "dc:s", "s")]
-    assert D.edit_script(["a"], ["b"], {("a", "b"): 0.4}) == [("add", "", "b"), ("delete", "a", "")]
+    assert steps(["a", "b"], ["c", "d"], {("a", "d"): 0.9, ("b", "d"): 0.6}) == [("add", "", "c"), ("delete", "b", ""), ("rename", "a", "d")]
+    assert steps(["dc:s", "dc:t"], ["s", "dc:t"], {("dc:s", "s"): 1.0}) == [("move", "dc:s", "s")]
+    assert steps(["a"], ["b"], {("a", "b"): 0.4}) == [("add", "", "b"), ("delete", "a", "")]
+    assert steps(["a"], ["a"], {}, {"a": "whole"}, {"a": "text"}) == [("retype", "a", "a")]
+    assert steps([], [], {}) == []
+
+
+def test_subtrees():
+    """A renamed namespace is one step for it, a struct that is moved goes as a whole."""
+    both = {(f"dc:{x}", f"dcterms:{x}"): 1.0 for x in "abc"}
+    script = D.edit_script([f"dc:{x}" for x in "abc"], [f"dcterms:{x}" for x in "abc"], both)
+    assert [(s.op, s.before, s.after) for s in script if not s.is_field] == [("rename", "dc:", "dcterms:")]
+    before, after = D.name_tree(["p.x.a", "p.x.b", "q.c"]), D.name_tree(["q.x.a", "q.x.b", "q.c", "p.d"])
+    script = D.edit_script(before, after, {}, trust_labels=True)
+    assert ("move", "p.x.", "q.x.", False) in [(s.op, s.before, s.after, s.is_field) for s in script]
+    assert [(s.op, s.before, s.after) for s in script if s.is_field] == [("add", "", "p.d"), ("rename", "p.x.a", "q.x.a"), ("rename", "p.x.b", "q.x.b")]
+
+
+@given(st.integers(0, 10**6))
+@settings(max_examples=60, deadline=None)
+def test_distance_is_least(seed):
+    """Against every one-to-one mapping of small flat trees with one level of namespaces."""
+    import random
+    from itertools import permutations
+
+    rnd = random.Random(seed)
+    a, b = ([f"{rnd.choice('mn')}:{x}" for x in rnd.sample("abcde", rnd.randint(0, 4))] for _ in range(2))
+    share = {(x, y): rnd.choice((0.0, 0.5, 0.8, 1.0)) for x in a for y in b if x not in b and y not in a}
+    gone, come = [x for x in a if x not in b], [y for y in b if y not in a]
+    got = steps(a, b, share)
+    cost = lambda x, y: 1 - share[x, y] + (D.RELABEL if x[2:] != y[2:] else 0) + (D.MOVE if x[0] != y[0] else 0) if share[x, y] >= 0.5 else 2.0
+    wide = come + [None] * len(gone)
+    best = min((sum(cost(x, y) if y else 1 for x, y in zip(gone, p)) + sum(y not in p for y in come) for p in permutations(wide, len(gone))), default=len(come))
+    mine = sum(1 if op in ("add", "delete") else cost(x, y) for op, x, y in got)
+    # inner nodes may make another choice worth at most what they cost
+    assert mine <= best + 2 * (2 * D.INNER + D.MOVE) and {x for _, x, _ in got if x} == set(gone) and {y for _, _, y in got if y} == set(come)
+
+
+def test_nested_frames(spark):
+    one = spark.sql("SELECT 1 AS id, named_struct('title', 'a', 'size', 5) AS meta, 'x' AS note")
+    two = spark.sql("SELECT 2L AS id, named_struct('title', 'b', 'lang', named_struct('code', 'en')) AS meta, named_struct('size', 7.5D) AS file")
+    three = spark.sql("SELECT 3L AS id, named_struct('title', 4, 'lang', named_struct('code', 'fr')) AS meta, named_struct('size', 8.5D) AS file")
+    table, scripts = D.consistent_frames([one, two, three])
+    assert [(s.op, s.before, s.after) for s in scripts[0] if s.is_field] == [("add", "", "meta.lang.code"), ("delete", "note", ""), ("move", "meta.size", "file.size"), ("retype", "id", "id")]
+    assert [(s.op, s.before) for s in scripts[1]] == [("retype", "meta.title")]
+    rows = {r.id: r for r in table.collect()}
+    assert [rows[i].file.size for i in (1, 2, 3)] == [5.0, 7.5, 8.5] and [rows[i].meta.title for i in (1, 2, 3)] == ["a", "b", "4"]
+    assert rows[1].note == "x" and rows[3].note is None and rows[1].meta.lang.code is None and rows[3].meta.lang.code == "fr"
