@@ -44,21 +44,16 @@ def field_name(cell: Column) -> Column:
     return F.lower(strip(F.replace(cell, F.lit("﻿"), F.lit(""))))
 
 
+#: Kinds of value in the order of their codes.
+KINDS = ("whole", "decimal", "date", "several", "text")
+
+
 def value_kind(value: Column) -> Column:
-    """Kind of a filled, stripped cell: whole, decimal, date, several or text."""
-    v = value
-    first = F.substring(v, 1, 1)
-    return (
-        F.when(
-            first <= "9",  # no other first character can begin a number
-            F.when(v.rlike(r"^[+-]?[0-9]+\z"), "whole")
-            .when(v.rlike(r"^[+-]?[0-9]*[.][0-9]+\z"), "decimal")
-            .when(v.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), "date")
-            .when(v.rlike(r"(?s)[^;|\s][^;|]*[;|]\s*[^;|\s]"), "several")
-            .otherwise("text"),
-        )
-        .when((F.contains(v, F.lit(";")) | F.contains(v, F.lit("|"))) & v.rlike(r"(?s)[^;|\s][^;|]*[;|]\s*[^;|\s]"), "several")
-        .otherwise("text")
+    """Code of the kind of a filled, stripped cell."""
+    v, (whole, decimal, date, several, text) = value, map(F.lit, range(len(KINDS)))
+    many = F.when((F.contains(v, F.lit(";")) | F.contains(v, F.lit("|"))) & v.rlike(r"(?s)[^;|\s][^;|]*[;|]\s*[^;|\s]"), several).otherwise(text)
+    return F.when(F.substring(v, 1, 1) > "9", many).otherwise(  # no higher first character can begin a number
+        F.when(v.rlike(r"^[+-]?[0-9]+\z"), whole).when(v.rlike(r"^[+-]?[0-9]*[.][0-9]+\z"), decimal).when(v.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), date).otherwise(many)
     )
 
 
@@ -371,12 +366,6 @@ def let(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def _filled_cells() -> Column:
-    """Filled cells of a record with their slots, stripped: array of field, goes, comes, value. Surplus cells have no slot."""
-    cells = F.zip_with("slots", "row", lambda s, v: F.struct(s["field"].alias("field"), s["goes"].alias("goes"), s["comes"].alias("comes"), strip(v).alias("value")))
-    return F.filter(cells, lambda c: F.coalesce((c["value"] != "") & (c["field"] != ""), F.lit(False)))
-
-
 def _tokens(value: Column) -> Column:
     """Values of a cell in a form that outlives repacking and another notation of a number."""
     return F.filter(
@@ -385,11 +374,17 @@ def _tokens(value: Column) -> Column:
 
 
 def field_kinds(lines: DataFrame, files: DataFrame) -> DataFrame:
-    """Filled cells by field and kind of value: series_name, file_name, counts (array of field, kind, n)."""
-    cells = read_rows(lines, files, "slots").select("series_name", "file_name", F.explode(_filled_cells()).alias("c"))
-    counts = cells.groupBy("series_name", "file_name", F.col("c.field").alias("field"), value_kind(F.col("c.value")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    """Filled cells by field and kind of value: series_name, file_name, counts (array of field, kind, n).
+
+    Cells are counted as numbers, 8 times the place of their field in the file's list plus the code of their kind.
+    """
+    fields = F.transform("slots", lambda s: F.array_position("fields", s["field"]).cast("int") - 1)
+    rows = read_rows(lines, files.withColumn("at", fields), "at")
+    codes = F.zip_with("at", "row", lambda i, v: let(strip(v), lambda x: F.when((x != "") & (i >= 0), i * 8 + value_kind(x))))
+    cells = rows.select("series_name", "file_name", F.explode(codes).alias("code")).where("code IS NOT NULL")
     # a file has as many rows here as fields and kinds, whatever its length
-    return counts.groupBy("series_name", "file_name").agg(F.collect_list(F.struct("field", "kind", "n")).alias("counts"))
+    counts = cells.groupBy("series_name", "file_name", "code").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy("series_name", "file_name").agg(F.collect_list(F.struct("code", "n")).alias("counts"))
 
 
 def rename_evidence(lines: DataFrame, files: DataFrame, asset_field: str = "assetid") -> DataFrame:
@@ -400,12 +395,14 @@ def rename_evidence(lines: DataFrame, files: DataFrame, asset_field: str = "asse
     """
     cells = read_rows(lines, files.where(F.exists("slots", lambda s: s["goes"] | s["comes"])), "slots", "after")
 
-    def moved(filled: Column) -> Column:
-        asset = F.get(F.filter(filled, lambda c: c["field"] == asset_field), F.lit(0))["value"]
-        of = lambda a: F.transform(F.filter(filled, lambda c: c["goes"] | c["comes"]), lambda c: F.struct(a.alias("asset"), c["field"].alias("field"), c["goes"].alias("goes"), c["comes"].alias("comes"), c["value"].alias("value")))
-        return let(asset, of)
+    def moved(row: Column) -> Column:
+        asset = F.get(F.array_compact(F.zip_with("slots", row, lambda s, v: F.when(s["field"] == asset_field, F.nullif(strip(v), F.lit(""))))), F.lit(0))
+        cell = lambda s, v: F.when(s["goes"] | s["comes"], F.struct(s["field"].alias("field"), s["goes"].alias("goes"), s["comes"].alias("comes"), v.alias("value")))
+        return F.struct(asset.alias("asset"), F.array_compact(F.zip_with("slots", row, cell)).alias("cells"))
 
-    changed = cells.select("series_name", "file_name", "after", F.explode(let(_filled_cells(), moved)).alias("c")).where("c.asset IS NOT NULL")
+    # surplus cells have no slot
+    kept = cells.select("series_name", "file_name", "after", let(F.col("row"), moved).alias("m")).where("m.asset IS NOT NULL")
+    changed = kept.select("series_name", "file_name", "after", F.col("m.asset").alias("asset"), F.explode("m.cells").alias("c"))
     side = F.explode(
         F.filter(
             F.array(
@@ -415,7 +412,7 @@ def rename_evidence(lines: DataFrame, files: DataFrame, asset_field: str = "asse
             lambda x: x.isNotNull(),
         )
     )
-    tokens = changed.select("series_name", side.alias("p"), F.col("c.asset").alias("asset"), F.col("c.field").alias("field"), F.explode(_tokens(F.col("c.value"))).alias("token"))
+    tokens = changed.select("series_name", side.alias("p"), "asset", F.col("c.field").alias("field"), F.explode(_tokens(F.col("c.value"))).alias("token"))
     own = lambda s: F.collect_set(F.when(F.col("p.side") == s, F.col("field")))
     # the sets are as wide as the change of a schema, whatever the number of rows
     shared = tokens.groupBy("series_name", F.col("p.file_name").alias("file_name"), "asset", "token").agg(own(0).alias("gone"), own(1).alias("come"))
@@ -437,11 +434,11 @@ def shares(hints) -> dict[tuple[str, str], float]:
     return {(a, b): k / min(n[a, ""], n["", b]) for (a, b), k in n.items() if a and b}
 
 
-def main_kinds(counts) -> dict[str, str]:
+def main_kinds(counts, fields: Sequence[str]) -> dict[str, str]:
     """Kind of more than half of a field's filled cells, by field."""
     by: dict[str, dict[str, int]] = {}
     for c in counts:
-        by.setdefault(c["field"], {})[c["kind"]] = c["n"]
+        by.setdefault(fields[c["code"] >> 3], {})[KINDS[c["code"] & 7]] = c["n"]
     top = {f: max(k.items(), key=lambda x: x[1]) for f, k in by.items()}
     return {f: kind for f, (kind, n) in top.items() if 2 * n > sum(by[f].values())}
 
@@ -462,7 +459,7 @@ def edit_scripts(files: DataFrame, evidence: DataFrame, kinds: DataFrame | None
             rows = []
             for series, file, ord_, now, then, hints, n, n_then in b.itertuples(index=False):
                 typed = n is not None and n_then is not None
-                script = edit_script(then, now, {} if hints is None else shares(hints), main_kinds(n_then) if typed else None, main_kinds(n) if typed else None)
+                script = edit_script(then, now, {} if hints is None else shares(hints), main_kinds(n_then, then) if typed else None, main_kinds(n, now) if typed else None)
                 rows += [(series, file, ord_, s.op, s.before, s.after, s.is_field) for s in script]
             yield pd.DataFrame(rows, columns=["series_name", "file_name", "file_ord", "op", "field_before", "field_after", "is_field"])
 
