@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from archivolt.functions.text import strip
-from archivolt.session import cut
+from archivolt.session import kept as keep
 
 #: One CSV cell after a comma: quoted (a stop must follow) or bare. Possessive, so long cells need no stack.
 _CELL = r',("[^"]*+(?:""[^"]*+)*+"(?=,|\z)|[^,]*+)'
@@ -374,9 +374,10 @@ def _tokens(value: Column) -> Column:
 
 
 def field_kinds(lines: DataFrame, files: DataFrame) -> DataFrame:
-    """Filled cells by field and kind of value: series_name, file_name, counts (array of field, kind, n).
+    """Filled cells by field and kind of value: series_name, file_name, counts (array of numbers).
 
-    Cells are counted as numbers, 8 times the place of their field in the file's list plus the code of their kind.
+    Cells are counted by 8 times the place of their field in the file's list plus the code of their kind; in the array
+    stands that number times 2**40, plus the count.
     """
     fields = F.transform("slots", lambda s: F.array_position("fields", s["field"]).cast("int") - 1)
     rows = read_rows(lines, files.withColumn("at", fields), "at")
@@ -384,7 +385,7 @@ def field_kinds(lines: DataFrame, files: DataFrame) -> DataFrame:
     cells = rows.select("series_name", "file_name", F.explode(codes).alias("code")).where("code IS NOT NULL")
     # a file has as many rows here as fields and kinds, whatever its length
     counts = cells.groupBy("series_name", "file_name", "code").agg(F.count(F.lit(1)).alias("n"))
-    return counts.groupBy("series_name", "file_name").agg(F.collect_list(F.struct("code", "n")).alias("counts"))
+    return counts.groupBy("series_name", "file_name").agg(F.collect_list(F.col("code").cast("long") * (1 << 40) + F.col("n")).alias("counts"))
 
 
 def rename_evidence(lines: DataFrame, files: DataFrame, asset_field: str = "assetid") -> DataFrame:
@@ -437,8 +438,8 @@ def shares(hints) -> dict[tuple[str, str], float]:
 def main_kinds(counts, fields: Sequence[str]) -> dict[str, str]:
     """Kind of more than half of a field's filled cells, by field."""
     by: dict[str, dict[str, int]] = {}
-    for c in counts:
-        by.setdefault(fields[c["code"] >> 3], {})[KINDS[c["code"] & 7]] = c["n"]
+    for c in counts.tolist():
+        by.setdefault(fields[c >> 43], {})[KINDS[c >> 40 & 7]] = c & (1 << 40) - 1
     top = {f: max(k.items(), key=lambda x: x[1]) for f, k in by.items()}
     return {f: kind for f, (kind, n) in top.items() if 2 * n > sum(by[f].values())}
 
@@ -459,7 +460,10 @@ def edit_scripts(files: DataFrame, evidence: DataFrame, kinds: DataFrame | None
             rows = []
             for series, file, ord_, now, then, hints, n, n_then in b.itertuples(index=False):
                 typed = n is not None and n_then is not None
-                script = edit_script(then, now, {} if hints is None else shares(hints), main_kinds(n_then, then) if typed else None, main_kinds(n, now) if typed else None)
+                kinds_then, kinds_now = (main_kinds(n_then, then), main_kinds(n, now)) if typed else ({}, {})
+                if len(now) == len(then) and (now == then).all() and kinds_then == kinds_now:
+                    continue
+                script = edit_script(list(then), list(now), {} if hints is None else shares(hints), kinds_then, kinds_now)
                 rows += [(series, file, ord_, s.op, s.before, s.after, s.is_field) for s in script]
             yield pd.DataFrame(rows, columns=["series_name", "file_name", "file_ord", "op", "field_before", "field_after", "is_field"])
 
@@ -475,7 +479,7 @@ def schema_changes(lines: DataFrame, asset_field: str = "assetid") -> DataFrame:
     lines and empty files give nothing; the first file of a series has no changes. ``asset_field`` names the column that
     tells which records of two files belong together; without it nothing counts as renamed.
     """
-    files = cut(read_files(lines))
+    files = keep(read_files(lines), "files")
     script = edit_scripts(files, rename_evidence(lines, files, asset_field), field_kinds(lines, files)).where("is_field")
     kind = F.when(F.col("op") == "add", "added").when(F.col("op") == "delete", "removed").when(F.col("op") == "retype", "retyped").otherwise("renamed")
     return script.select("file_name", kind.alias("change_kind"), "field_before", "field_after")
@@ -522,8 +526,8 @@ def consistent_table(lines: DataFrame, columns: Mapping[str, tuple[str, str]]) -
     and stands in ``misfits`` (map of column and values); ``others`` is a map of the remaining fields. Records without any filled cell keep
     their row; a record that is there twice has two.
     """
-    files = cut(read_files(lines))
-    feeds = cut(projections(files, edit_scripts(files, rename_evidence(lines, files))))
+    files = keep(read_files(lines), "files")
+    feeds = keep(projections(files, edit_scripts(files, rename_evidence(lines, files))), "feeds")
     rows = lines.where("line_no > 0").join(feeds, ["series_name", "file_name"], "left")
     parts = lambda v: F.filter(F.transform(F.split(F.coalesce(v, F.lit("")), r"[;|]"), lambda x: strip(x)), lambda x: x != "")
     cells = F.filter(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -28,13 +30,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors share, as named in ``spark.checkpoint.dir``.
+    """Folder that all executors share: ``spark.checkpoint.dir``, else the checkpoint directory that was set.
 
-    Where the cluster names none (tests on one machine) a temporary folder is set once per session.
+    Where there is neither, a temporary folder is set on one machine (tests); on a cluster that is an error, as executors
+    would write to their own disks.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="archivolt-")
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="archivolt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
+        named = "file://" + path
         spark.conf.set("spark.checkpoint.dir", named)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
@@ -47,6 +54,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a table in the shared folder and read back: cuts the lineage and, unlike ``cut``, tells Spark the size,
+    so that joins with it are broadcast where it is small and shuffled where it isn't.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
