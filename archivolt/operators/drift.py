@@ -318,7 +318,7 @@ def read_files(lines: DataFrame) -> DataFrame:
     """Files of a table of raw lines, in the order of their series.
 
     Columns: series_name, file_name, file_ord, before (file exported before it in its series), names (header cells), fields (distinct,
-    sorted), then (fields of the file before), and slots: one (field, goes, comes) per header cell, the field '' where it has no name, where
+    sorted), then (fields of the file before), and slots: one (field, at, goes, comes) per header cell, the field '' and its place in ``fields``, ``at``, -1 where it has no name, where
     ``goes`` says that the next file lacks the field and ``comes`` that the file before did. A file without a header line
     has no row.
     """
@@ -347,6 +347,7 @@ def read_files(lines: DataFrame) -> DataFrame:
         "names",
         lambda n: F.struct(
             n.alias("field"),
+            (F.array_position("fields", n).cast("int") - 1).alias("at"),
             (F.coalesce(~F.array_contains("next", n), F.lit(False)) & (n != "")).alias("goes"),
             (F.coalesce(~F.array_contains("then", n), F.lit(False)) & (n != "")).alias("comes"),
         ),
@@ -379,8 +380,7 @@ def field_kinds(lines: DataFrame, files: DataFrame) -> DataFrame:
     Cells are counted by 8 times the place of their field in the file's list plus the code of their kind; in the array
     stands that number times 2**40, plus the count.
     """
-    fields = F.transform("slots", lambda s: F.array_position("fields", s["field"]).cast("int") - 1)
-    rows = read_rows(lines, files.withColumn("at", fields), "at")
+    rows = read_rows(lines, files.withColumn("at", F.col("slots.at")), "at")
     codes = F.zip_with("at", "row", lambda i, v: let(strip(v), lambda x: F.when((x != "") & (i >= 0), i * 8 + value_kind(x))))
     cells = rows.select("series_name", "file_name", F.explode(codes).alias("code")).where("code IS NOT NULL")
     # a file has as many rows here as fields and kinds, whatever its length
@@ -389,16 +389,16 @@ def field_kinds(lines: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def rename_evidence(lines: DataFrame, files: DataFrame, asset_field: str = "assetid") -> DataFrame:
-    """Values that live on: series_name, file_name, hints (array of field_before, field_after, n).
+    """Values that live on: series_name, file_name, hints (array of pair of fields and number of values).
 
     Only fields the later file lacks and fields it adds take part, on assets with such values in both files, as a blank on either
-    side says nothing. A hint without field_after (or field_before) gives the number of values the field has there.
+    side says nothing. A pair with one field gives the number of values it has there.
     """
     cells = read_rows(lines, files.where(F.exists("slots", lambda s: s["goes"] | s["comes"])), "slots", "after")
 
     def moved(row: Column) -> Column:
         asset = F.get(F.array_compact(F.zip_with("slots", row, lambda s, v: F.when(s["field"] == asset_field, F.nullif(strip(v), F.lit(""))))), F.lit(0))
-        cell = lambda s, v: F.when(s["goes"] | s["comes"], F.struct(s["field"].alias("field"), s["goes"].alias("goes"), s["comes"].alias("comes"), v.alias("value")))
+        cell = lambda s, v: F.when(s["goes"] | s["comes"], F.struct(s["at"].alias("at"), s["goes"].alias("goes"), s["comes"].alias("comes"), v.alias("value")))
         return F.struct(asset.alias("asset"), F.array_compact(F.zip_with("slots", row, cell)).alias("cells"))
 
     # surplus cells have no slot
@@ -413,26 +413,26 @@ def rename_evidence(lines: DataFrame, files: DataFrame, asset_field: str = "asse
             lambda x: x.isNotNull(),
         )
     )
-    tokens = changed.select("series_name", side.alias("p"), "asset", F.col("c.field").alias("field"), F.explode(_tokens(F.col("c.value"))).alias("token"))
-    own = lambda s: F.collect_set(F.when(F.col("p.side") == s, F.col("field")))
+    tokens = changed.select("series_name", side.alias("p"), "asset", F.col("c.at").alias("at"), F.explode(_tokens(F.col("c.value"))).alias("token"))
+    own = lambda s: F.collect_set(F.when(F.col("p.side") == s, F.col("at")))
     # the sets are as wide as the change of a schema, whatever the number of rows
     shared = tokens.groupBy("series_name", F.col("p.file_name").alias("file_name"), "asset", "token").agg(own(0).alias("gone"), own(1).alias("come"))
     both = shared.groupBy("series_name", "file_name", "asset").agg(F.max(F.size("gone")).alias("g"), F.max(F.size("come")).alias("c")).where("g > 0 AND c > 0")
     kept = shared.join(both.drop("g", "c"), ["series_name", "file_name", "asset"])
-    none = F.lit("")
+    # a pair of fields as one number, the place in either list plus one, 0 for none
     pairs = F.concat(
-        F.transform("gone", lambda g: F.struct(g.alias("field_before"), none.alias("field_after"))),
-        F.transform("come", lambda c: F.struct(none.alias("field_before"), c.alias("field_after"))),
-        F.flatten(F.transform("gone", lambda g: F.transform("come", lambda c: F.struct(g.alias("field_before"), c.alias("field_after"))))),
+        F.transform("gone", lambda g: (g.cast("long") + 1) * (1 << 20)),
+        F.transform("come", lambda c: c.cast("long") + 1),
+        F.flatten(F.transform("gone", lambda g: F.transform("come", lambda c: (g.cast("long") + 1) * (1 << 20) + c + 1))),
     )
     counted = kept.select("series_name", "file_name", F.explode(pairs).alias("x")).groupBy("series_name", "file_name", "x").agg(F.count(F.lit(1)).alias("n"))
-    return counted.groupBy("series_name", "file_name").agg(F.collect_list(F.struct("x.field_before", "x.field_after", "n")).alias("hints"))
+    return counted.groupBy("series_name", "file_name").agg(F.collect_list(F.struct("x", "n")).alias("hints"))
 
 
-def shares(hints) -> dict[tuple[str, str], float]:
-    """Share of values that live on, of the field with fewer values."""
-    n = {(h["field_before"], h["field_after"]): h["n"] for h in hints}
-    return {(a, b): k / min(n[a, ""], n["", b]) for (a, b), k in n.items() if a and b}
+def shares(hints, then: Sequence[str], now: Sequence[str]) -> dict[tuple[str, str], float]:
+    """Share of values that live on, of the field with fewer values, by field before and after."""
+    n = {divmod(h["x"], 1 << 20): h["n"] for h in hints}
+    return {(then[a - 1], now[b - 1]): k / min(n[a, 0], n[0, b]) for (a, b), k in n.items() if a and b}
 
 
 def main_kinds(counts, fields: Sequence[str]) -> dict[str, str]:
@@ -463,7 +463,7 @@ def edit_scripts(files: DataFrame, evidence: DataFrame, kinds: DataFrame | None
                 kinds_then, kinds_now = (main_kinds(n_then, then), main_kinds(n, now)) if typed else ({}, {})
                 if len(now) == len(then) and (now == then).all() and kinds_then == kinds_now:
                     continue
-                script = edit_script(list(then), list(now), {} if hints is None else shares(hints), kinds_then, kinds_now)
+                script = edit_script(list(then), list(now), {} if hints is None else shares(hints, then, now), kinds_then, kinds_now)
                 rows += [(series, file, ord_, s.op, s.before, s.after, s.is_field) for s in script]
             yield pd.DataFrame(rows, columns=["series_name", "file_name", "file_ord", "op", "field_before", "field_after", "is_field"])
 
