@@ -1,59 +1,60 @@
 """Passages of held-out evaluation items inside corpus texts.
 
 A passage of 20 words with at most one word in ten changed holds six successive words unchanged, wherever the changes
-fall. So every run of six words of every item is a pattern of one Aho-Corasick automaton over words (a word is one
-symbol of the automaton's alphabet); each text is scanned once. Around the hits the alignment of text and item is
+fall. So every run of six words of every item is a pattern of an Aho-Corasick automaton over words (a word is one
+symbol of the automaton's alphabet); each text is read and cut into words once. Around the hits the alignment of text and item is
 extended in both directions by furthest-reaching diagonals until the share of edits is exceeded, and the words' offsets
 give the place in the original text.
+
+The automaton is built once, in a Spark job, and goes to the tasks as it was built. A test set too large for one is built as several
+parts, which a task applies one after another to the texts it has read, so that its memory is that of one part and the
+corpus is still read once.
 """
 
 from __future__ import annotations
 
 import html
+import pickle
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from archivolt.session import kept
+
 #: Least words of a passage, words per edit allowed, and the unchanged words that this guarantees.
 MIN_WORDS, WORDS_PER_EDIT, ANCHOR = 20, 10, 6
-#: Words that must match outside the outermost edits, so that a chance word doesn't lengthen a short quotation.
-FLANK = 3
-#: Items of one automaton; a larger set is scanned in blocks, one automaton each.
-ITEMS_PER_BLOCK = 20_000
+#: Anchors that any passage has, and the words and diagonals they can lie apart.
+ANCHORS, SLACK, DRIFT = MIN_WORDS - (ANCHOR - 1) - ANCHOR * (MIN_WORDS // WORDS_PER_EDIT), MIN_WORDS + 4, MIN_WORDS // WORDS_PER_EDIT
+#: Words that must match outside the outermost edits: a passage begins and ends with words of the item.
+FLANK = 1
+#: Words of the items in one part of the automaton, on average, and characters of text that a task holds for several parts.
+PART_WORDS, CHUNK_CHARS = 250_000, 64_000_000
 
-_TAG = re.compile(r"<[^<>]{1,200}>")
+#: Tags, comments and declarations of mark-up, of any length. A lone "<" is a character like any other.
+_TAG = re.compile(
+    r"""<!--.*?-->|<[!?][A-Za-z][^<>]*>|</?[A-Za-z][\w:-]*(?:\s+[\w:.-]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'<>=]+))*\s*/?>""", re.S
+)
 _GAP = re.compile(r"[\s–—]+")
 _DROP = re.compile(r"[^\w\s]|_")
-_TOKEN = re.compile(r"<[^<>]{1,200}>|[^\s–—<]+|<")
-_BROKEN = re.compile(r"(?<=\w)[-­]\s*\n\s*(?=\w)")
-
-
-def words(text: str) -> list[str]:
-    """Words of a text as they are compared: no case, no punctuation, no mark-up; broken words are joined."""
-    t = _TAG.sub(" ", text)
-    if "&" in t:
-        t = html.unescape(t)
-    if "-\n" in t or "­" in t:
-        t = _BROKEN.sub("", t)
-    return _DROP.sub("", t.casefold().replace("–", " ").replace("—", " ")).split()
+_TOKEN = re.compile(r"[^\s–—]+")
+_BROKEN = re.compile(r"(?<=\w)[-\u00ad]\s*\n\s*(?=\w)")
 
 
 def placed_words(text: str) -> list[tuple[str, int, int]]:
-    """(word, start, end) with offsets into ``text``; the words are those of ``words``."""
-    out, joined = [], [m.span() for m in _BROKEN.finditer(text)] if "-\n" in text or "­" in text else []
-    at = 0
-    for m in _TOKEN.finditer(text):
+    """(word, start, end) with offsets into ``text``: no case, no punctuation, no mark-up; broken words are joined."""
+    t = _TAG.sub(lambda m: " " * len(m.group()), text) if "<" in text else text
+    joins = {m.end() for m in _BROKEN.finditer(t)} if "-\n" in t or "\u00ad" in t or "- " in t else set()
+    out: list[tuple[str, int, int]] = []
+    for m in _TOKEN.finditer(t):
         token, start, end = m.group(), m.start(), m.end()
-        if _TAG.fullmatch(token):
-            continue
-        while at < len(joined) and joined[at][1] < start:
-            at += 1
-        glue = at < len(joined) and joined[at][1] == start and bool(out)
-        for part in _GAP.split(html.unescape(token) if "&" in token else token):
+        glue = start in joins and bool(out)
+        for part in _GAP.split(html.unescape(token)) if "&" in token else (token,):
             if w := _DROP.sub("", part.casefold()):
                 if glue:
                     out[-1] = (out[-1][0] + w, out[-1][1], end)
@@ -63,75 +64,109 @@ def placed_words(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def words(text: str) -> list[str]:
+    """The words of ``placed_words``, at once where a text has neither entities nor broken words."""
+    if "&" in text or _BROKEN.search(text) or ("<" in text and _BROKEN.search(_TAG.sub(" ", text))):
+        return [w for w, _, _ in placed_words(text)]
+    t = _TAG.sub(" ", text) if "<" in text else text
+    return _DROP.sub("", t.casefold().replace("–", " ").replace("—", " ")).split()
+
+
 class LeakFinder:
-    """Automaton and item words for one block of items."""
+    """Automaton and item words of one part of the items."""
 
     def __init__(self, items: Sequence[tuple[int, str]]):
         import ahocorasick
 
-        self.items = {i: words(t) for i, t in items if t}
-        vocabulary = sorted({w for ws in self.items.values() for w in ws})
+        texts = [(i, words(t)) for i, t in items if t]
+        self.ids = [i for i, _ in texts]
+        vocabulary = sorted({w for _, ws in texts for w in ws})
+        if len(vocabulary) > 0x10FFFF - 0x10000:
+            raise ValueError("more different words in one part of the items than an automaton has symbols")
         # one symbol per word, above the ASCII range; words no item has share a symbol that is in no pattern
         self.symbol = {w: chr(0x100 + n if n < 0xD000 else 0x10000 + n - 0xD000) for n, w in enumerate(vocabulary)}
+        self.items = ["".join(self.symbol[w] for w in ws) for _, ws in texts]
         places = defaultdict(list)
-        for i, ws in self.items.items():
+        for i, ws in enumerate(self.items):
             for p in range(len(ws) - ANCHOR + 1):
-                places["".join(self.symbol[w] for w in ws[p : p + ANCHOR])].append((i, p))
-        self.automaton = ahocorasick.Automaton()
-        for pattern, at in places.items():
-            self.automaton.add_word(pattern, at)
+                places[ws[p : p + ANCHOR]].append((i, p))
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for n, pattern in enumerate(places):
+            self.automaton.add_word(pattern, n)
         if places:
             self.automaton.make_automaton()
-        self.any = bool(places)
+        # where each pattern stands, pattern after pattern
+        self.starts = np.concatenate([[0], np.cumsum([len(x) for x in places.values()])]).astype(np.int64)
+        self.places = np.array([x for at in places.values() for x in at], dtype=np.int32).reshape(-1, 2)
 
-    def find(self, text: str) -> list[tuple[int, int, int, int, int]]:
-        """(item, words, edits, start, end) of the longest passage of each item that the text leaks."""
-        if not self.any or not text:
+    def find(self, text: str, known: list[str] | None = None) -> list[tuple[int, int, int, int, int]]:
+        """(item, words, edits, start, end) of every passage that the text leaks; passages of an item don't lie in each other."""
+        if not len(self.places) or not text:
             return []
-        get = self.symbol.get
-        ws = words(text)
+        ws = words(text) if known is None else known
         if len(ws) < MIN_WORDS - MIN_WORDS // WORDS_PER_EDIT:
             return []
-        hits = defaultdict(list)
-        for end, at in self.automaton.iter("".join([get(w, "\x01") for w in ws])):
-            for item, p in at:
-                hits[item].append((end - ANCHOR + 1, p))
+        get = self.symbol.get
+        codes = "".join([get(w, "\x01") for w in ws])
+        ends, ids = [], []
+        for end, n in self.automaton.iter(codes):
+            ends.append(end)
+            ids.append(n)
+        if len(ends) < ANCHORS:
+            return []
         out, placed = [], None
-        for item, anchors in hits.items():
-            best = None
-            for d, p in self._runs(ws, self.items[item], anchors):
-                found = self._extend(ws, self.items[item], d, p)
-                if found and (best is None or found > best):
-                    best = found
-            if best:
-                if placed is None:
-                    placed = placed_words(text)
-                n, edits, first, last = best
-                ok = len(placed) == len(ws)
-                out.append((item, n, -edits, placed[first][1] if ok else 0, placed[last][2] if ok else len(text)))
-        return out
+        for item, runs in self._runs(np.array(ends), np.array(ids)):
+            covered: list[tuple[int, int]] = []
+            for d, last, p in runs:
+                # what lies within a passage found before adds nothing
+                if any(first <= d and last <= end for first, end in covered):
+                    continue
+                if found := self._extend(codes, self.items[item], d, p):
+                    n, edits, first, end = found
+                    covered.append((first, end))
+                    placed = placed or placed_words(text)
+                    out.append((self.ids[item], n, -edits, placed[first][1], placed[end][2]))
+        return sorted(set(out))
 
-    @staticmethod
-    def _runs(ws: list[str], item: list[str], anchors: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-        """Anchors that can be part of a passage, one per unchanged run.
+    def _runs(self, ends: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
+        """Unchanged runs that can be part of a passage, by item: (first word in the text, last word, first word in the item).
 
-        A passage of n words with e edits has at least n - 5 - 6e anchors, three at least, close to one diagonal.
+        A passage with e edits holds a part of MIN_WORDS words with a tenth of edits, which has ANCHORS anchors at least,
+        within SLACK words and DRIFT diagonals of each other.
         """
-        need = MIN_WORDS - (ANCHOR - 1) - ANCHOR * (MIN_WORDS // WORDS_PER_EDIT)
-        if len(anchors) < need:
-            return
-        anchors.sort()
-        slack = MIN_WORDS + 2 * ANCHOR
-        for n, (d, p) in enumerate(anchors):
-            if d and p and ws[d - 1] == item[p - 1]:
-                continue  # the run began before
-            near = 0
-            for d2, p2 in anchors[max(0, n - 200) : n + 200]:
-                if abs(d2 - d) <= slack and abs((d2 - p2) - (d - p)) <= 3:
-                    near += 1
-                    if near >= need:
-                        yield d, p
+        n = self.starts[ids + 1] - self.starts[ids]
+        place = self.places[np.repeat(self.starts[ids] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())]
+        d = np.repeat(ends - ANCHOR + 1, n)
+        item, p = place[:, 0], place[:, 1]
+        order = np.lexsort((d, d - p, item))
+        item, d, p = item[order], d[order], p[order]
+        new = np.flatnonzero(np.r_[True, (item[1:] != item[:-1]) | ((d - p)[1:] != (d - p)[:-1]) | (d[1:] != d[:-1] + 1)])
+        length = np.diff(np.r_[new, len(d)])
+        for i in np.unique(item[new]):
+            mine = np.flatnonzero(item[new] == i)
+            if length[mine].sum() < ANCHORS:
+                continue
+            first, count, at = d[new[mine]].tolist(), length[mine].tolist(), p[new[mine]].tolist()
+            by_diagonal: dict[int, tuple[list[int], list[int]]] = {}
+            for f, c, q in zip(first, count, at):
+                begins, lasts = by_diagonal.setdefault(f - q, ([], []))
+                begins.append(f)
+                lasts.append(f + c - 1)
+            runs = []
+            for f, c, q in zip(first, count, at):
+                low, high, near = f - SLACK, f + c - 1 + SLACK, 0
+                for diagonal in range(f - q - DRIFT, f - q + DRIFT + 1):
+                    if (x := by_diagonal.get(diagonal)) is not None:
+                        begins, lasts = x
+                        for k in range(bisect_left(lasts, low), bisect_right(begins, high)):
+                            near += min(lasts[k], high) - max(begins[k], low) + 1
+                            if near >= ANCHORS:
+                                break
+                    if near >= ANCHORS:
+                        runs.append((f, f + c + ANCHOR - 2, q))
                         break
+            if runs:
+                yield int(i), sorted(runs, key=lambda r: (r[0] - r[1], r))
 
     @staticmethod
     def _reach(a: Sequence[str], b: Sequence[str]) -> list[tuple[int, int]]:
@@ -145,7 +180,7 @@ class LeakFinder:
                 while i < na and i + k < nb and a[i] == b[i + k]:
                     i += 1
                 after[k] = i
-                if i - s >= FLANK and i > best[0] or e == 0 and i > best[0]:
+                if i - s >= FLANK and i > best[0]:
                     best = (i, i + k)
             reach[-1] = best
             # a passage can always be cut where more edits than its share, and two, are used up
@@ -161,7 +196,7 @@ class LeakFinder:
                 return reach
             reach.append(best)
 
-    def _extend(self, ws: list[str], item: list[str], d: int, p: int) -> tuple[int, int, int, int] | None:
+    def _extend(self, ws: str, item: str, d: int, p: int) -> tuple[int, int, int, int] | None:
         span = len(item) + len(item) // 5 + 5
         right = self._reach(item[p:], ws[d : d + span])
         left = self._reach(item[:p][::-1], ws[max(0, d - span) : d][::-1])
@@ -174,31 +209,59 @@ class LeakFinder:
         return best
 
 
+def build_parts(items: DataFrame, item_id: str, text: str) -> DataFrame:
+    """The automaton as built, one row per part: part, built. Items are spread over the parts by their ids, on the executors."""
+    chosen = items.select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t")).where("i IS NOT NULL AND trim(t) <> ''")
+    size = chosen.agg(F.coalesce(F.sum(F.size(F.split("t", r"\s+"))), F.lit(0))).first()[0]
+    parts = max(1, -(-size // PART_WORDS))
+
+    def build(rows: pd.DataFrame) -> pd.DataFrame:
+        finder = LeakFinder(list(zip(rows.i.tolist(), rows.t)))
+        return pd.DataFrame({"part": [int(rows.part.iloc[0])], "built": [pickle.dumps(finder.__dict__, 5)]})
+
+    return chosen.withColumn("part", F.pmod(F.xxhash64("i"), F.lit(parts)).cast("int")).groupBy("part").applyInPandas(build, "part int, built binary")
+
+
 def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id") -> DataFrame:
-    """Leaked passages: doc_id, item_id, n_words, n_edits, start_char, end_char (the longest of each pair).
+    """Leaked passages: doc_id, item_id, n_words, n_edits, start_char, end_char, every one of each pair.
 
     Null and empty texts leak nothing, equal items are reported each, repeated documents once per row. Items with fewer
-    words than a passage needs are never found. The items are a bounded evaluation set; they are cut into blocks of
-    ITEMS_PER_BLOCK, each scanned with its own automaton, so what a task holds doesn't grow with their number.
+    words than a passage needs are never found. The driver passes on one part of the automaton at a time.
     """
     spark = documents.sparkSession
-    chosen = items.select(F.col(item_id).cast("long").alias("_i"), F.col(text).alias("_t")).where("_t IS NOT NULL")
-    blocks: list[list[tuple[int, str]]] = [[]]
-    for row in chosen.toLocalIterator():
-        if len(blocks[-1]) == ITEMS_PER_BLOCK:
-            blocks.append([])
-        blocks[-1].append((row[0], row[1]))
-    corpus = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL")
-    out = None
-    for block in blocks:
-        sent = spark.sparkContext.broadcast(block)
+    built = kept(build_parts(items, item_id, text), "automaton")
+    sent = [spark.sparkContext.broadcast(bytes(row.built)) for row in built.toLocalIterator()]
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["doc_id", "item_id", "n_words", "n_edits", "start_char", "end_char"]
 
-        def scan(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            finder = LeakFinder(sent.value)
+        def load(part) -> LeakFinder:
+            finder = LeakFinder.__new__(LeakFinder)
+            finder.__dict__.update(pickle.loads(part.value))
+            part.__dict__.pop("_value", None)  # else the worker would keep every part
+            return finder
+
+        if len(sent) <= 1:
+            finders = [load(part) for part in sent]
             for b in batches:
-                rows = [(d, *found) for d, t in zip(b.doc_id, b.text) for found in finder.find(t)]
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "n_words", "n_edits", "start_char", "end_char"])
+                yield pd.DataFrame([(d, *found) for f in finders for d, t in zip(b.doc_id, b.text) for found in f.find(t)], columns=columns)
+            return
 
-        part = corpus.mapInPandas(scan, "doc_id long, item_id long, n_words int, n_edits int, start_char int, end_char int")
-        out = part if out is None else out.unionByName(part)
-    return out
+        def chunks() -> Iterator[list[tuple[int, str]]]:
+            chunk, chars = [], 0
+            for b in batches:
+                chunk += zip(b.doc_id, b.text)
+                chars += int(b.text.str.len().sum())
+                if chars >= CHUNK_CHARS:
+                    yield chunk
+                    chunk, chars = [], 0
+            yield chunk
+
+        for chunk in chunks():
+            cut_up = [(d, t, words(t)) for d, t in chunk]
+            for part in sent:
+                finder = load(part)
+                yield pd.DataFrame([(d, *found) for d, t, ws in cut_up for found in finder.find(t, ws)], columns=columns)
+
+    corpus = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL")
+    return corpus.mapInPandas(scan, "doc_id long, item_id long, n_words int, n_edits int, start_char int, end_char int")
