@@ -1,8 +1,8 @@
 """Passages of held-out evaluation items inside corpus texts.
 
 A passage of 20 words with at most one word in ten changed holds six successive words unchanged, wherever the changes
-fall. So every run of six words of every item is a pattern of an Aho-Corasick automaton over words (a word is one
-symbol of the automaton's alphabet); each text is read and cut into words once. Around the hits the alignment of text and item is
+fall, and with them four words that begin at a multiple of three in the item. Those are the patterns of an Aho-Corasick
+automaton over words; each text is read and cut into words once. Around the hits the alignment of text and item is
 extended in both directions by furthest-reaching diagonals until the share of edits is exceeded, and the words' offsets
 give the place in the original text.
 
@@ -29,10 +29,14 @@ from archivolt.session import kept
 
 #: Least words of a passage, words per edit allowed, and the unchanged words that this guarantees.
 MIN_WORDS, WORDS_PER_EDIT, ANCHOR = 20, 10, 6
+#: Words of a pattern, and the step between patterns: any ANCHOR words of an item in a row hold one.
+GRAM, STEP = 4, 3
 #: Anchors that any passage has, and the words and diagonals they can lie apart.
 ANCHORS, SLACK, DRIFT = MIN_WORDS - (ANCHOR - 1) - ANCHOR * (MIN_WORDS // WORDS_PER_EDIT), MIN_WORDS + 4, MIN_WORDS // WORDS_PER_EDIT
 #: Words that must match outside the outermost edits: a passage begins and ends with words of the item.
 FLANK = 1
+#: Letters of the automaton's alphabet for each place of a word.
+BASE = 128
 #: Words of the items in one part of the automaton, on average, and characters of text that a task holds for several parts.
 PART_WORDS, CHUNK_CHARS = 250_000, 64_000_000
 
@@ -86,10 +90,18 @@ class LeakFinder:
         # one symbol per word, above the ASCII range; words no item has share a symbol that is in no pattern
         self.symbol = {w: chr(0x100 + n if n < 0xD000 else 0x10000 + n - 0xD000) for n, w in enumerate(vocabulary)}
         self.items = ["".join(self.symbol[w] for w in ws) for _, ws in texts]
+        # a node of the automaton looks through its children one by one, so it gets a word as letters of a small alphabet, an
+        # alphabet of its own for each place; the first place's can't match within a word
+        self.width = 1
+        while BASE**self.width < len(vocabulary):
+            self.width += 1
+        self.spelled = {w: "".join(chr(0x100 + BASE * k + n // BASE**k % BASE) for k in range(self.width)) for n, w in enumerate(vocabulary)}
+        self.known = re.compile("[^\x01]{%d,}" % (ANCHOR * self.width))
         places = defaultdict(list)
-        for i, ws in enumerate(self.items):
-            for p in range(len(ws) - ANCHOR + 1):
-                places[ws[p : p + ANCHOR]].append((i, p))
+        for i, (_, ws) in enumerate(texts):
+            spelled = [self.spelled[w] for w in ws]
+            for p in range(0, len(ws) - GRAM + 1, STEP):
+                places["".join(spelled[p : p + GRAM])].append((i, p))
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for n, pattern in enumerate(places):
             self.automaton.add_word(pattern, n)
@@ -106,16 +118,19 @@ class LeakFinder:
         ws = words(text) if known is None else known
         if len(ws) < MIN_WORDS - MIN_WORDS // WORDS_PER_EDIT:
             return []
-        get = self.symbol.get
-        codes = "".join([get(w, "\x01") for w in ws])
+        get, none, width = self.spelled.get, "\x01" * self.width, self.width
         ends, ids = [], []
-        for end, n in self.automaton.iter(codes):
-            ends.append(end)
-            ids.append(n)
-        if len(ends) < ANCHORS:
+        # a pattern only lies where six words in a row are words of items
+        for run in self.known.finditer("".join([get(w, none) for w in ws])):
+            start = run.start()
+            for end, n in self.automaton.iter(run.group()):
+                ends.append((start + end) // width)
+                ids.append(n)
+        if not ends:
             return []
+        codes = "".join([self.symbol.get(w, "\x01") for w in ws])
         out, placed = [], None
-        for item, runs in self._runs(np.array(ends), np.array(ids)):
+        for item, runs in self._runs(codes, np.array(ends), np.array(ids)):
             covered: list[tuple[int, int]] = []
             for d, last, p in runs:
                 # what lies within a passage found before adds nothing
@@ -128,25 +143,34 @@ class LeakFinder:
                     out.append((self.ids[item], n, -edits, placed[first][1], placed[end][2]))
         return sorted(set(out))
 
-    def _runs(self, ends: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
+    def _runs(self, codes: str, ends: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
         """Unchanged runs that can be part of a passage, by item: (first word in the text, last word, first word in the item).
 
-        A passage with e edits holds a part of MIN_WORDS words with a tenth of edits, which has ANCHORS anchors at least,
-        within SLACK words and DRIFT diagonals of each other.
+        A passage with e edits holds a part of MIN_WORDS words with a tenth of edits, in which ANCHORS anchors at least,
+        six unchanged words each, lie within SLACK words and DRIFT diagonals of each other.
         """
         n = self.starts[ids + 1] - self.starts[ids]
         place = self.places[np.repeat(self.starts[ids] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())]
-        d = np.repeat(ends - ANCHOR + 1, n)
+        d = np.repeat(ends - GRAM + 1, n)
         item, p = place[:, 0], place[:, 1]
         order = np.lexsort((d, d - p, item))
-        item, d, p = item[order], d[order], p[order]
-        new = np.flatnonzero(np.r_[True, (item[1:] != item[:-1]) | ((d - p)[1:] != (d - p)[:-1]) | (d[1:] != d[:-1] + 1)])
-        length = np.diff(np.r_[new, len(d)])
-        for i in np.unique(item[new]):
-            mine = np.flatnonzero(item[new] == i)
-            if length[mine].sum() < ANCHORS:
+        found: dict[int, list[tuple[int, int, int]]] = {}
+        last = (-1, 0, -1)  # item, diagonal, last word of the run before
+        for i, f, q in zip(item[order].tolist(), d[order].tolist(), p[order].tolist()):
+            if last[0] == i and last[1] == f - q and f <= last[2]:
                 continue
-            first, count, at = d[new[mine]].tolist(), length[mine].tolist(), p[new[mine]].tolist()
+            words_of, diagonal, end = self.items[i], f - q, f + GRAM
+            while end < len(codes) and end - diagonal < len(words_of) and codes[end] == words_of[end - diagonal]:
+                end += 1
+            while f and q and codes[f - 1] == words_of[q - 1]:
+                f, q = f - 1, q - 1
+            last = (i, diagonal, end - 1)
+            if end - f >= ANCHOR:
+                found.setdefault(i, []).append((f, end - f - ANCHOR + 1, q))
+        for i, mine in found.items():
+            if sum(count for _, count, _ in mine) < ANCHORS:
+                continue
+            first, count, at = zip(*mine)
             by_diagonal: dict[int, tuple[list[int], list[int]]] = {}
             for f, c, q in zip(first, count, at):
                 begins, lasts = by_diagonal.setdefault(f - q, ([], []))
@@ -166,7 +190,7 @@ class LeakFinder:
                         runs.append((f, f + c + ANCHOR - 2, q))
                         break
             if runs:
-                yield int(i), sorted(runs, key=lambda r: (r[0] - r[1], r))
+                yield i, sorted(runs, key=lambda r: (r[0] - r[1], r))
 
     @staticmethod
     def _reach(a: Sequence[str], b: Sequence[str]) -> list[tuple[int, int]]:
