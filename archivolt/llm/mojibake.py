@@ -11,6 +11,7 @@ Replacement characters mark passages that cannot be restored.
 
 from __future__ import annotations
 
+import html
 import re
 from collections.abc import Iterator
 from math import log2
@@ -35,6 +36,7 @@ MOST_PAIRS = 3_000_000
 
 REPLACED = "�"
 _RUN = re.compile(r"[^\x00-\x7f]+")
+_ENTITY = re.compile(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 
 
 def single_byte_table(encoding: str) -> list[str]:
@@ -284,18 +286,40 @@ class Repairer:
                 out += [(a, b, z.gains[best][1]) for a, b, z in inside if best in z.gains and (z.gains[best][0] > 0 or best[1] != "utf-8")]
         return out
 
+    def _pieces(self, text: str) -> list[tuple[int, int, str]]:
+        """(start, end, restored) of the runs to replace, where characters may be written as entities."""
+        if "&" not in text:
+            return self._once(text)
+        out, starts, ends, at = [], [], [], 0
+        for m in _ENTITY.finditer(text):
+            # what stands for a character beyond ASCII is read as that character
+            if len(c := html.unescape(m.group())) == 1 and c > "\x7f":
+                out += [text[at : m.start()], c]
+                starts += [*range(at, m.start()), m.start()]
+                ends += [*range(at + 1, m.start() + 1), m.end()]
+                at = m.end()
+        if not out:
+            return self._once(text)
+        starts += range(at, len(text))
+        ends += range(at + 1, len(text) + 1)
+        return [(starts[a], ends[b - 1], restored) for a, b, restored in self._once("".join([*out, text[at:]]))]
+
     def repair(self, text: str) -> tuple[bool, bool, str]:
-        """(has a wrongly decoded passage, has one that cannot be restored, text as far as restored)."""
+        """(has a wrongly decoded passage, has one that cannot be restored, text as far as restored).
+
+        Text may have been wrongly decoded more than once; every round makes it shorter or is the last.
+        """
         changed = False
-        for _ in range(4):  # text may have been wrongly decoded more than once
-            pieces = self._once(text)
-            if not pieces:
-                break
-            changed, at, out = True, 0, []
+        while pieces := self._pieces(text):
+            at, out = 0, []
             for a, b, restored in pieces:
                 out += [text[at:a], restored]
                 at = b
-            text = "".join([*out, text[at:]])
+            after = "".join([*out, text[at:]])
+            changed, longer, text = True, len(after) >= len(text), after
+            if longer:
+                # readings of single bytes keep the length and could go on for ever
+                break
         lost = REPLACED in text
         return changed or lost, lost, text
 
@@ -316,7 +340,7 @@ def find_garbled(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
         for b in batches:
             rows = []
             for d, t in zip(b.doc_id, b.text):
-                if t and not t.isascii():
+                if t and (not t.isascii() or _ENTITY.search(t)):
                     wrong, lost, restored = repairer.repair(t)
                     if wrong:
                         rows.append((d, restored, not lost))
