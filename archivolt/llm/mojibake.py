@@ -2,8 +2,8 @@
 
 Three steps. (1) One pass counts adjacent character pairs with a character beyond ASCII over the whole corpus. Runs that
 by their structure are UTF-8 read wrongly aren't counted, so frequent garbling doesn't become ordinary. (2) In
-each text, a pair is scored by its information, -log2 p(a, b): the mutual information of the pair against that of
-its characters, so rare neighbours score high; maximum-scoring segments isolate the improbable runs. (3) Only inside those,
+each text, a pair is scored by its mutual information, normalised by the information of the pair: neighbours that
+hold less of each other than ordinary text does score high; maximum-scoring segments isolate the improbable runs. (3) Only inside those,
 inverse mappings are tried: encode with the encoding that was wrongly used, decode with the right one. A mapping holds where
 the restored characters are, by the same pair statistics, clearly likelier neighbours than those that stand there.
 Replacement characters mark passages that cannot be restored.
@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 WRONG = ("cp1252", "latin-1", "cp437", "cp850", "mac_roman", "cp1251", "cp1250", "iso8859-2", "koi8-r", "cp1254")
 RIGHT = ("utf-8", "cp1252", "cp1250", "iso8859-2", "mac_roman", "cp850")
 
-#: A pair below this information is ordinary; a pair of ASCII characters takes so much from a segment.
-ORDINARY_BITS, ASCII_BITS = 10.0, 1.5
+#: Neighbours of this mutual information are ordinary, less makes a run improbable; weight of a pair, and what a pair of ASCII
+#: characters takes from a segment.
+ORDINARY, PAIR_BITS, ASCII_BITS = 0.6, 10.0, 1.5
 #: Bits a mapping must gain in a segment: multi-byte sequences prove much by being valid, single bytes nothing.
 GAIN_UTF8, GAIN_SINGLE = 4.0, 8.5
 #: Bits that speak against text having been written in an encoding, beside the two usual ones.
@@ -176,9 +177,15 @@ class PairModel:
         self.pair = {chr(a) + chr(b): n for a, b, n in counts if b >= 0}
         self.total = max(1, sum(self.single.values()))
 
-    def information(self, a: str, b: str) -> float:
-        """-log2 p(a, b): high for neighbours that hardly ever meet."""
-        return log2(self.total) - log2(self.pair.get(a + b, 0) + 0.5)
+    def mutual(self, a: str, b: str) -> float:
+        """Mutual information of two neighbours, log2 p(a, b) / (p(a) p(b)), in units of -log2 p(a, b): -1 to 1.
+
+        Pairs are smoothed by what independence lets expect, so neighbours that never meet have none.
+        """
+        single = (self.single.get(a, 0) + 0.5) * (self.single.get(b, 0) + 0.5) / self.total
+        joint = self.pair.get(a + b, 0) + single
+        information = log2(self.total / joint)
+        return log2(joint / single) / information if information > 0 else 1.0
 
     def follows(self, a: str, b: str) -> float:
         """log2 p(b | a), smoothed with the frequency of b."""
@@ -198,7 +205,7 @@ class Zone:
 
     def __init__(self, model: PairModel, whole: str):
         run = whole[1:-1]
-        self.score = sum(model.information(a, b) - ORDINARY_BITS for a, b in zip(whole, whole[1:]))
+        self.score = sum(PAIR_BITS * (ORDINARY - model.mutual(a, b)) for a, b in zip(whole, whole[1:]))
         self.gains: dict[tuple[str, str], tuple[float, str]] = {}
         if self.score > 0:
             here = model.likelihood(whole)
