@@ -1,12 +1,13 @@
 """Differences between two copies of a dataset by characteristic-polynomial set reconciliation.
 
 Every row of a side becomes one element of the field with 2**61 - 1 elements (a hash of key and fields). Elements are
-spread over buckets small enough that a bucket holds few differences. In a bucket the characteristic polynomials of
-the two sets are evaluated at a few points; the quotient of the two is a rational function in which all common elements
-cancel, so its degree is the number of differences, whatever the size of the sets. It is interpolated under a degree
-bound; its zeros are the elements only the first side has, its poles those only the second has. The recovered sets
-are verified at further points; a bucket that fails is tried again with the bound doubled. Only then are rows
-fetched, by their hashes, and compared field by field.
+spread over buckets small enough that a bucket holds few differences. Each side evaluates the characteristic polynomials
+of its own buckets at a few points, and only bucket, size and evaluations are exchanged: the quotient of two polynomials is a
+rational function in which all common elements cancel, so its degree is the number of differences, whatever the size of
+the sets. It is interpolated under a degree bound, and its two polynomials go back to the sides, where those elements of a
+bucket that are zeros of the one are what only the first side has, zeros of the other what only the second has.
+The recovered sets are verified at further points against the exchanged evaluations; only the buckets that fail are tried again,
+with the bound doubled and at new points. Only then are rows fetched, by their hashes, and compared field by field.
 
 All arithmetic is vectorised over the buckets of an Arrow batch.
 """
@@ -20,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from archivolt.session import kept
+
 P = np.uint64((1 << 61) - 1)
 _P = (1 << 61) - 1
 _32, _29, _M32, _M29, _61, _3 = (np.uint64(x) for x in (32, 29, (1 << 32) - 1, (1 << 29) - 1, 61, 3))
@@ -53,9 +56,9 @@ def inverse(a: np.ndarray) -> np.ndarray:
     return out
 
 
-def points(n: int) -> np.ndarray:
-    """The first n evaluation points, the same on every machine."""
-    x, out = 0x9E3779B97F4A7C15, []
+def points(n: int, first: int = 0) -> np.ndarray:
+    """n evaluation points, the same on every machine; another ``first`` gives others."""
+    x, out = 0x9E3779B97F4A7C15 + first, []
     for _ in range(n):
         x = (x * 6364136223846793005 + 1442695040888963407) % (1 << 64)
         out.append((x >> 3) % _P)
@@ -130,83 +133,113 @@ def _powers(x: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _one_bound(a: np.ndarray, ia: np.ndarray, b: np.ndarray, ib: np.ndarray, na: np.ndarray, nb: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tries all given buckets with one degree bound: (verified, a is a zero, b is a pole)."""
-    n, at = len(na), points(bound + 1 + CHECKS)
-    fa, fb = evaluate(a, ia, n, at), evaluate(b, ib, n, at)
-    quotient = mul(fa, inverse(fb.ravel()).reshape(fb.shape))
-    usable = (fa != 0).all(axis=1) & (fb != 0).all(axis=1)
-    zero, pole, good = np.zeros(len(a), bool), np.zeros(len(b), bool), np.zeros(n, bool)
-    delta = na - nb
+def interpolate(quotient: np.ndarray, delta: np.ndarray, bound: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numerators and denominators of the rational functions with the given values, as coefficients without the leading
+    one, and their degrees: (numerators, denominators, degrees), a row each.
+
+    ``delta`` is the difference of the degrees, that of the set sizes. The degrees' sum is the bound, or one above it;
+    a row whose delta is beyond the bound has the degrees -1.
+    """
+    n = len(delta)
+    top, low, degrees = np.zeros((n, bound + 1), np.uint64), np.zeros((n, bound + 1), np.uint64), np.full((n, 2), -1)
     for d in np.unique(delta):
         if abs(d) > bound:
             continue
-        # degrees whose difference is that of the set sizes and whose sum is the bound, or one above it
         total = bound + (bound + int(d)) % 2
         da, db = (total + int(d)) // 2, (total - int(d)) // 2
-        who = np.flatnonzero((delta == d) & usable)
-        if not len(who):
+        for who in np.array_split(np.flatnonzero(delta == d), max(1, int((delta == d).sum()) * bound * bound // 2_000_000)):
+            z, f = at[:total], quotient[who][:, :total]
+            pa, pb = _powers(z, da + 1), _powers(z, db + 1)
+            left = np.broadcast_to(pa[:, :da], (len(who), total, da))
+            side = mul(f[:, :, None], np.broadcast_to(pb[:, :db], (len(who), total, db)))
+            right = sub(mul(f, np.broadcast_to(pb[:, db], f.shape)), np.broadcast_to(pa[:, da], f.shape))
+            # P(z) - f Q(z) = 0 with both monic
+            x = solve(np.concatenate([left, sub(np.zeros_like(side), side)], axis=2), right)
+            top[who, :da], low[who, :db], degrees[who] = x[:, :da], x[:, da:], (da, db)
+    return top, low, degrees
+
+
+def zeros_of(elements: np.ndarray, of: np.ndarray, own: np.ndarray, other: np.ndarray, degrees: np.ndarray) -> np.ndarray:
+    """Which elements are zeros of their bucket's polynomial ``own`` and not of ``other``: what both share has no meaning."""
+    hit = np.zeros(len(elements), bool)
+    for da, db in np.unique(degrees, axis=0):
+        if da < 0:
             continue
-        z, f = at[:total], quotient[who][:, :total]
-        pa, pb = _powers(z, da + 1), _powers(z, db + 1)
-        left = np.broadcast_to(pa[:, :da], (len(who), total, da))
-        side = mul(f[:, :, None], np.broadcast_to(pb[:, :db], (len(who), total, db)))
-        right = sub(mul(f, np.broadcast_to(pb[:, db], f.shape)), np.broadcast_to(pa[:, da], f.shape))
-        # P(z) - f Q(z) = 0 with both monic
-        x = solve(np.concatenate([left, sub(np.zeros_like(side), side)], axis=2), right)
-        place = np.full(n, -1)
-        place[who] = np.arange(len(who))
-        for own, of, coefficients, other, found in ((a, ia, x[:, :da], x[:, da:], zero), (b, ib, x[:, da:], x[:, :da], pole)):
-            mine = np.flatnonzero(place[of] >= 0)
-            rows = place[of[mine]]
-            # what both polynomials share has no meaning
-            found[mine] = (horner(coefficients[rows], own[mine]) == 0) & (horner(other[rows], own[mine]) != 0)
-    # verified only where the recovered sets alone explain the quotient at every point, the checks included
-    ra, rb = evaluate(a[zero], ia[zero], n, at), evaluate(b[pole], ib[pole], n, at)
-    good = usable & (mul(ra, fb) == mul(rb, fa)).all(axis=1) & (
-        np.bincount(ia[zero], minlength=n) - np.bincount(ib[pole], minlength=n) == delta
-    )
-    return good, zero, pole
-
-
-def reconcile_buckets(sets_a: Sequence[np.ndarray], sets_b: Sequence[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For each bucket the elements only in the first and only in the second set. Sets have no repeats."""
-    n = len(sets_a)
-    na, nb = np.array([len(s) for s in sets_a], dtype=np.int64), np.array([len(s) for s in sets_b], dtype=np.int64)
-    cat = lambda s: np.concatenate(s).astype(np.uint64) if len(s) else np.zeros(0, np.uint64)
-    only_a, only_b = [np.zeros(0, np.uint64)] * n, [np.zeros(0, np.uint64)] * n
-    todo, bound = np.arange(n), FIRST_BOUND
-    while len(todo):
-        # a bound beyond both sets says nothing more; only an element that is zero or an evaluation point comes so far
-        for i in todo[na[todo] + nb[todo] + 2 < bound // 2]:
-            only_a[i], only_b[i] = np.setdiff1d(sets_a[i], sets_b[i]), np.setdiff1d(sets_b[i], sets_a[i])
-        todo = todo[na[todo] + nb[todo] + 2 >= bound // 2]
-        for chunk in np.array_split(todo, max(1, len(todo) * bound * bound // 2_000_000)):
-            a, b = cat([sets_a[i] for i in chunk]), cat([sets_b[i] for i in chunk])
-            ia, ib = np.repeat(np.arange(len(chunk)), na[chunk]), np.repeat(np.arange(len(chunk)), nb[chunk])
-            good, zero, pole = _one_bound(a, ia, b, ib, na[chunk], nb[chunk], bound)
-            for side, of, hit, out in ((a, ia, zero, only_a), (b, ib, pole, only_b)):
-                hit = hit & good[of]
-                for i, values in zip(*_grouped(of[hit], side[hit])):
-                    out[chunk[i]] = values
-            todo = np.setdiff1d(todo, chunk[good], assume_unique=True)
-        bound *= 2
-    return only_a, only_b
-
-
-def _grouped(of: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    keys, first = np.unique(of, return_index=True)
-    return keys, np.split(values, first[1:]) if len(keys) else []
-
-
-def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        as_sets = lambda col: [np.unique(np.asarray(x, dtype=np.int64)) for x in col]
-        only_a, only_b = reconcile_buckets(as_sets(batch["a"]), as_sets(batch["b"]))
-        for side, found in ((0, only_a), (1, only_b)):
-            h = np.concatenate(found) if found else np.zeros(0, np.uint64)
-            if len(h):
-                yield pd.DataFrame({"side": np.full(len(h), side, dtype=np.int8), "h": h.astype(np.int64)})
+        mine = np.flatnonzero((degrees[of] == (da, db)).all(axis=1))
+        x, rows = elements[mine], of[mine]
+        hit[mine] = (horner(own[rows][:, :da], x) == 0) & (horner(other[rows][:, :db], x) != 0)
+    return hit
+
+
+def _flat(sets) -> tuple[np.ndarray, np.ndarray]:
+    """(elements, index of their set) of a column of arrays; null is the empty set."""
+    arrays = [np.zeros(0, np.uint64) if s is None else np.asarray(s, dtype=np.int64).astype(np.uint64) for s in sets]
+    of = np.repeat(np.arange(len(arrays)), [len(x) for x in arrays])
+    return (np.concatenate(arrays) if arrays else np.zeros(0, np.uint64)), of
+
+
+def _per_set(values: np.ndarray, of: np.ndarray, n: int) -> list[np.ndarray]:
+    return np.split(values.astype(np.int64), np.searchsorted(of, np.arange(1, n))) if n else []
+
+
+def _rows_of(column) -> np.ndarray:
+    return np.array([np.asarray(x, dtype=np.int64) for x in column], dtype=np.int64).astype(np.uint64)
+
+
+def _round(sets: Sequence[DataFrame], bound: int) -> DataFrame:
+    """One exchange under a degree bound: bucket, good, a, b (the elements that only one side has, where good)."""
+    n_points = bound + 1 + CHECKS
+    at = points(n_points, bound)
+
+    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            elements, of = _flat(batch["elements"])
+            values = evaluate(elements, of, len(batch), at)
+            yield pd.DataFrame({"bucket": batch["bucket"], "n": np.bincount(of, minlength=len(batch)), "f": list(values.astype(np.int64))})
+
+    def solved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                # an empty bucket has the polynomial 1
+                fa, fb = (_rows_of([np.ones(n_points, np.int64) if x is None else x for x in batch[c]]) for c in ("fa", "fb"))
+                delta = (batch["na"].fillna(0) - batch["nb"].fillna(0)).to_numpy().astype(np.int64)
+                quotient = mul(fa, inverse(fb.ravel()).reshape(fb.shape))
+                # an element at an evaluation point makes the values useless; other points are taken in the next round
+                useless = ~((fa != 0).all(axis=1) & (fb != 0).all(axis=1))
+                top, low, degrees = interpolate(quotient, np.where(useless, 4 * bound, delta), bound, at)
+                out = {"bucket": batch["bucket"], "delta": delta, "q": list(quotient.astype(np.int64)), "top": list(top.astype(np.int64)), "low": list(low.astype(np.int64)), "degrees": list(degrees)}
+                yield pd.DataFrame(out)
+
+    def found(side: int):
+        own, other = ("top", "low") if side == 0 else ("low", "top")
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if len(batch):
+                    elements, of = _flat(batch["elements"])
+                    degrees = np.array([list(x) for x in batch["degrees"]])
+                    hit = zeros_of(elements, of, _rows_of(batch[own]), _rows_of(batch[other]), degrees if side == 0 else degrees[:, ::-1])
+                    yield pd.DataFrame({"bucket": batch["bucket"], "x": _per_set(elements[hit], of[hit], len(batch))})
+
+        return run
+
+    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                n = len(batch)
+                (a, ia), (b, ib) = _flat(batch["a"]), _flat(batch["b"])
+                ra, rb, q = evaluate(a, ia, n, at), evaluate(b, ib, n, at), _rows_of(batch["q"])
+                good = (ra == mul(q, rb)).all(axis=1) & (np.bincount(ia, minlength=n) - np.bincount(ib, minlength=n) == batch["delta"].to_numpy())
+                good &= np.array([d[0] >= 0 for d in batch["degrees"]])
+                yield pd.DataFrame({"bucket": batch["bucket"], "good": good, "a": _per_set(a, ia, n), "b": _per_set(b, ib, n)})
+
+    fa, fb = (s.mapInPandas(sketch, "bucket long, n long, f array<long>").select("bucket", F.col("n").alias(f"n{x}"), F.col("f").alias(f"f{x}")) for s, x in zip(sets, "ab"))
+    schema = "bucket long, delta long, q array<long>, top array<long>, low array<long>, degrees array<long>"
+    solution = kept(fa.join(fb, "bucket", "full").mapInPandas(solved, schema), "solution")
+    back = solution.select("bucket", "top", "low", "degrees")
+    a, b = (s.join(back, "bucket").mapInPandas(found(i), "bucket long, x array<long>").withColumnRenamed("x", "ab"[i]) for i, s in enumerate(sets))
+    recovered = solution.select("bucket", "delta", "q", "degrees").join(a, "bucket", "left").join(b, "bucket", "left")
+    return kept(recovered.mapInPandas(verified, "bucket long, good boolean, a array<long>, b array<long>"), "verified")
 
 
 def element(columns: Sequence[Column]) -> Column:
@@ -218,18 +251,28 @@ def element(columns: Sequence[Column]) -> Column:
 def set_difference(a: DataFrame, b: DataFrame, h: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Elements of column ``h`` that only one side holds: side (0: a, 1: b) and h.
 
-    Equal elements collapse before the shuffle, so copies of one row weigh once; a bucket's size follows from the number
-    of different elements over all, never from a key.
+    Each side groups its own elements by bucket, equal ones once; a bucket's size follows from the number of different
+    elements over all, never from a key. Between the sides go sizes, evaluations and polynomials only. Bounds double
+    until every bucket is verified, at most to the size of both sides' buckets.
     """
     n = max(1, -(-max(a.count(), b.count()) // bucket_rows))
-    sides = a.select(F.lit(0).alias("side"), F.col(h).alias("h")).unionByName(b.select(F.lit(1).alias("side"), F.col(h).alias("h")))
-    own = lambda s: F.collect_set(F.when(F.col("side") == s, F.col("h")))
-    return (
-        sides.groupBy(F.pmod(F.xxhash64("h"), F.lit(n)).alias("bucket"))
-        .agg(own(0).alias("a"), own(1).alias("b"))
-        .select("a", "b")
-        .mapInPandas(_decode, "side byte, h long")
-    )
+    bucket = F.pmod(F.xxhash64(h), F.lit(n)).alias("bucket")
+    sets = [kept(x.groupBy(bucket).agg(F.collect_set(h).alias("elements")), f"side{i}") for i, x in enumerate((a, b))]
+    out, bound = None, FIRST_BOUND
+    while True:
+        done = _round(sets, bound)
+        good = done.where("good AND (size(a) > 0 OR size(b) > 0)")
+        part = good.select(F.explode(F.concat(_tagged("a", 0), _tagged("b", 1))).alias("d")).select("d.*")
+        out = part if out is None else out.unionByName(part)
+        failed = done.where("NOT good").select("bucket")
+        if failed.isEmpty():
+            return out
+        sets = [kept(s.join(failed, "bucket", "left_semi"), "side") for s in sets]
+        bound *= 2
+
+
+def _tagged(column: str, side: int) -> Column:
+    return F.transform(column, lambda x: F.struct(F.lit(side).cast("byte").alias("side"), x.alias("h")))
 
 
 def differences(a: DataFrame, b: DataFrame, keys: Sequence[str], fields: Sequence[str], names: tuple[str, str]) -> DataFrame:
@@ -244,17 +287,15 @@ def differences(a: DataFrame, b: DataFrame, keys: Sequence[str], fields: Sequenc
         *keys, *fields, element([F.col(c) for c in (*keys, *fields)]).alias("_h")
     )
     a, b = with_hash(a), with_hash(b)
-    found = set_difference(a, b, "_h")
-    from archivolt.session import cut
-
-    found = cut(found)
+    # kept as tables of known size: the joins back are broadcast where the differences are few
+    found = kept(set_difference(a, b, "_h"), "found")
     changed = (
         a.join(found.where("side = 0").select(F.col("h").alias("_h")), "_h", "left_semi")
         .select(*keys)
         .unionByName(b.join(found.where("side = 1").select(F.col("h").alias("_h")), "_h", "left_semi").select(*keys))
         .distinct()
     )
-    changed = cut(changed)
+    changed = kept(changed, "changed")
     # fetch all rows of the keys concerned, one row per key and side
     fetch = lambda df, s: df.join(changed, list(keys), "left_semi").select(F.lit(s).alias("_s"), *keys, *fields)
     both = fetch(a, 0).unionByName(fetch(b, 1))

@@ -18,12 +18,32 @@ def test_field_arithmetic(pairs):
     assert (R.mul(nonzero, R.inverse(nonzero)) == 1).all()
 
 
+def reconcile_buckets(sets_a, sets_b):
+    """The exchange without Spark, bounds doubled for the buckets that fail."""
+    n = len(sets_a)
+    only_a, only_b, todo, bound = [None] * n, [None] * n, np.arange(n), R.FIRST_BOUND
+    while len(todo):
+        at = R.points(bound + 1 + R.CHECKS, bound)
+        (a, ia), (b, ib) = R._flat([sets_a[i] for i in todo]), R._flat([sets_b[i] for i in todo])
+        fa, fb = R.evaluate(a, ia, len(todo), at), R.evaluate(b, ib, len(todo), at)
+        q = R.mul(fa, R.inverse(fb.ravel()).reshape(fb.shape))
+        delta = np.array([len(sets_a[i]) - len(sets_b[i]) for i in todo])
+        top, low, degrees = R.interpolate(q, delta, bound, at)
+        ha, hb = R.zeros_of(a, ia, top, low, degrees), R.zeros_of(b, ib, low, top, degrees[:, ::-1])
+        ra, rb = R.evaluate(a[ha], ia[ha], len(todo), at), R.evaluate(b[hb], ib[hb], len(todo), at)
+        good = (ra == R.mul(q, rb)).all(axis=1) & (np.bincount(ia[ha], minlength=len(todo)) - np.bincount(ib[hb], minlength=len(todo)) == delta) & (degrees[:, 0] >= 0)
+        for j in np.flatnonzero(good):
+            only_a[todo[j]], only_b[todo[j]] = a[ha & (ia == j)], b[hb & (ib == j)]
+        todo, bound = todo[~good], bound * 2
+    return only_a, only_b
+
+
 @given(st.lists(st.tuples(st.sets(ELEMENT, max_size=30), st.sets(ELEMENT, max_size=7), st.sets(ELEMENT, max_size=7)), max_size=5))
 @settings(max_examples=25, deadline=None)
 def test_recovers_the_difference(buckets):
     a = [np.array(sorted(common | x), dtype=np.int64) for common, x, _ in buckets]
     b = [np.array(sorted(common | y), dtype=np.int64) for common, _, y in buckets]
-    only_a, only_b = R.reconcile_buckets(a, b)
+    only_a, only_b = reconcile_buckets(a, b)
     for i in range(len(buckets)):
         assert set(only_a[i].tolist()) == set(a[i].tolist()) - set(b[i].tolist())
         assert set(only_b[i].tolist()) == set(b[i].tolist()) - set(a[i].tolist())
@@ -32,10 +52,16 @@ def test_recovers_the_difference(buckets):
 def test_many_differences_and_one_empty_side():
     rng = np.random.default_rng(3)
     big = np.unique(rng.integers(0, R._P, 60))
-    only_a, only_b = R.reconcile_buckets([big, big[:0]], [big[:0], big])
+    only_a, only_b = reconcile_buckets([big, big[:0]], [big[:0], big])
     assert set(only_a[0]) == set(big.tolist()) and set(only_b[1]) == set(big.tolist()) and not len(only_b[0])
 
 
+def test_an_element_at_an_evaluation_point():
+    at = R.points(R.FIRST_BOUND + 1 + R.CHECKS, R.FIRST_BOUND)[:3].astype(np.int64)
+    only_a, only_b = reconcile_buckets([np.unique(np.r_[at, 5, 6])], [np.unique(np.r_[at, 6, 7])])
+    assert list(only_a[0]) == [5] and list(only_b[0]) == [7]
+
+
 SCHEMA = "k string, o int, x string, y string"
 
 
