@@ -29,6 +29,8 @@ _32, _29, _M32, _M29, _61, _3 = (np.uint64(x) for x in (32, 29, (1 << 32) - 1, (
 
 #: Rows a side and bucket on average, first degree bound, and points that only verify.
 BUCKET_ROWS, FIRST_BOUND, CHECKS = 32, 8, 2
+#: Hashes that may be sent to every task, 8 bytes each.
+FEW = 4_000_000
 
 
 def mul(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -275,6 +277,25 @@ def _tagged(column: str, side: int) -> Column:
     return F.transform(column, lambda x: F.struct(F.lit(side).cast("byte").alias("side"), x.alias("h")))
 
 
+def among(df: DataFrame, column: str, hashes: DataFrame) -> DataFrame:
+    """Rows whose hash is among those of ``hashes``.
+
+    Up to FEW hashes go to the tasks as one sorted array, so the rows stay where they are; beyond that both sides are
+    shuffled by their hash.
+    """
+    if hashes.count() > FEW:
+        return df.join(hashes.distinct(), column, "left_semi")
+    sent = df.sparkSession.sparkContext.broadcast(np.unique(hashes.toPandas()[column].to_numpy(dtype=np.int64)))
+
+    @F.pandas_udf("boolean")
+    def hit(h: pd.Series) -> pd.Series:
+        known, x = sent.value, h.to_numpy()
+        at = np.searchsorted(known, x)
+        return pd.Series((at < len(known)) & (known[np.minimum(at, len(known) - 1)] == x) if len(known) else np.zeros(len(x), bool))
+
+    return df.where(hit(column))
+
+
 def differences(a: DataFrame, b: DataFrame, keys: Sequence[str], fields: Sequence[str], names: tuple[str, str]) -> DataFrame:
     """Rows missing on either side and fields that differ: keys and ``difference``.
 
@@ -284,20 +305,14 @@ def differences(a: DataFrame, b: DataFrame, keys: Sequence[str], fields: Sequenc
     the sets of their values. Inputs are read several times: pass tables, not plans that are dear to compute.
     """
     with_hash = lambda df: df.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).select(
-        *keys, *fields, element([F.col(c) for c in (*keys, *fields)]).alias("_h")
+        *keys, *fields, element([F.col(c) for c in (*keys, *fields)]).alias("_h"), F.xxhash64(*keys).alias("_k")
     )
     a, b = with_hash(a), with_hash(b)
-    # kept as tables of known size: the joins back are broadcast where the differences are few
     found = kept(set_difference(a, b, "_h"), "found")
-    changed = (
-        a.join(found.where("side = 0").select(F.col("h").alias("_h")), "_h", "left_semi")
-        .select(*keys)
-        .unionByName(b.join(found.where("side = 1").select(F.col("h").alias("_h")), "_h", "left_semi").select(*keys))
-        .distinct()
-    )
-    changed = kept(changed, "changed")
-    # fetch all rows of the keys concerned, one row per key and side
-    fetch = lambda df, s: df.join(changed, list(keys), "left_semi").select(F.lit(s).alias("_s"), *keys, *fields)
+    own = [among(df, "_h", found.where(F.col("side") == i).select(F.col("h").alias("_h"))) for i, df in enumerate((a, b))]
+    changed = kept(own[0].select("_k").unionByName(own[1].select("_k")).distinct(), "changed")
+    # fetch all rows of the keys concerned, whichever version of them differs
+    fetch = lambda df, s: among(df, "_k", changed).select(F.lit(s).alias("_s"), *keys, *fields)
     both = fetch(a, 0).unionByName(fetch(b, 1))
     side = lambda s, f: F.array_sort(F.collect_set(F.when(F.col("_s") == s, F.coalesce(F.concat(F.lit("="), F.col(f).cast("string")), F.lit("-")))))
     compared = both.groupBy(*keys).agg(

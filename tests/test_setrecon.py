@@ -94,3 +94,9 @@ def test_hot_copies_and_brute_force(spark):
     want = [(k, 1, "only_a") for k in da.keys() - db.keys()] + [(k, 1, "only_b") for k in db.keys() - da.keys()]
     want += [(k, 1, "x") for k in da.keys() & db.keys() if da[k][2] != db[k][2]]
     assert found(spark, a, b) == sorted(want)
+
+
+def test_many_differences_are_joined_back_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(R, "FEW", 1)
+    test_differences(spark)
+    test_versions_of_one_key_compare_as_sets(spark)
