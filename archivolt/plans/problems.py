@@ -71,7 +71,7 @@ def p3_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return widen.unfillable(widen.widen(table(spark, sf_dir, "classifier_score"), table(spark, sf_dir, "classifier_class")))
+    return widen.unfillable(table(spark, sf_dir, "classifier_score"), table(spark, sf_dir, "classifier_class"))
 
 
 def _composed(col: F.Column) -> F.Column:

@@ -15,9 +15,9 @@ ROWS = [
 ]
 
 
-def wide(spark, rows=ROWS, classes=CLASSES):
+def wide(spark, rows=ROWS, classes=CLASSES, make=W.widen):
     df = spark.createDataFrame(rows, "document string, rulebase_class string, term string").withColumn("entity", F.lit("clash")).withColumn("value", F.lit("clash"))
-    return W.widen(df, spark.createDataFrame(classes, "rulebase_class string, value_type string, multi_valued boolean"))
+    return make(df, spark.createDataFrame(classes, "rulebase_class string, value_type string, multi_valued boolean"))
 
 
 def test_wide(spark):
@@ -31,7 +31,7 @@ def test_wide(spark):
 
 
 def test_issues(spark):
-    got = {(r.document, r.rulebase_class): r.issue for r in W.unfillable(wide(spark)).collect()}
+    got = {(r.document, r.rulebase_class): r.issue for r in wide(spark, make=W.unfillable).collect()}
     assert got == {
         ("b.pdf", "Pages"): "conflict", ("b.pdf", "Issue_Date"): "unreadable", ("b.pdf", "Fee"): "unreadable", ("b.pdf", "Closed"): "unreadable", ("d.pdf", "Pages"): "unreadable",
     }
@@ -41,7 +41,7 @@ def test_hot_entity_and_blocks(spark):
     rows = [("hot.pdf", "Topic", f"t{i % 7}") for i in range(3000)] + [(f"d{i}.pdf", "Pages", str(i)) for i in range(300)]
     df = spark.createDataFrame(rows, "document string, rulebase_class string, term string")
     attributes = [W.Attribute(*c) for c in CLASSES]
-    got = {r.entity: r for r in W.stitch(W.distinct_cells(df, attributes), attributes, block=16).collect()}
+    got = {r.entity: r for r in W.assemble(W.column_files(W.distinct_cells(df, attributes), attributes, block=16), attributes).collect()}
     assert len(got) == 301 and got["hot.pdf"].Topic == [f"t{i}" for i in range(7)]
     assert all(got[f"d{i}.pdf"].Pages == i for i in range(300))
 
@@ -53,5 +53,6 @@ def test_ordinals_are_dense_and_ordered(spark):
 
 
 def test_empty(spark):
-    assert wide(spark, [], CLASSES).count() == 0
+    assert wide(spark, [], CLASSES).count() == 0 == wide(spark, [], CLASSES, W.unfillable).count()
+    assert wide(spark, ROWS, [], W.unfillable).count() == 0
     assert wide(spark, ROWS, []).count() == 0
