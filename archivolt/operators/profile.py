@@ -77,40 +77,65 @@ def apply_deltas(state: DataFrame | None, *deltas: DataFrame) -> DataFrame:
 
 
 class ValueCountStore:
-    """Value-count table kept in a folder, one Parquet version per applied delta.
+    """Persistent value-count table: a folder of signed deltas over a base, Parquet by column.
 
-    A version is complete once its ``_SUCCESS`` file exists, so an interrupted write leaves the former version in
-    force. ``apply`` reads the current version, adds the delta and writes the next one.
+    ``apply`` writes nothing but the delta of the loads it is given, so its cost follows from them and not from the state; reading adds
+    the deltas to the base. After MOST_DELTAS deltas the state is written as a new base and the folders it
+    replaces are deleted. A folder counts once its ``_SUCCESS`` file exists, so an interrupted write changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    #: Deltas that reading adds up at most.
+    MOST_DELTAS = 16
 
-    def _fs(self):
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        return hadoop, hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self._schema = spark, path, None
+        self._at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        root = self._at(path)
+        self._fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _folders(self) -> list[tuple[int, str]]:
+        """(number, kind) of all complete folders in order; kind is base or delta."""
+        root = self._at(self.path)
+        names = [s.getPath().getName().split("-") for s in self._fs.listStatus(root)] if self._fs.exists(root) else []
+        known = sorted((int(n), kind) for n, kind in (x for x in names if len(x) == 2 and x[0].isdigit()))
+        return [(n, kind) for n, kind in known if self._fs.exists(self._at(f"{self.path}/{n}-{kind}/_SUCCESS"))]
+
+    def _live(self) -> list[tuple[int, str]]:
+        """The last base and the deltas after it."""
+        known = self._folders()
+        last = max((n for n, kind in known if kind == "base"), default=0)
+        return [(n, kind) for n, kind in known if n > last or (n, kind) == (last, "base")]
 
     def version(self) -> int:
-        """Number of the current version, 0 where there is none."""
-        root, fs = self._fs()
-        if not fs.exists(root):
-            return 0
-        path_class = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        names = [s.getPath().getName() for s in fs.listStatus(root)]
-        done = [
-            int(x[1:]) for x in names if x[:1] == "v" and x[1:].isdigit() and fs.exists(path_class(f"{self.path}/{x}/_SUCCESS"))
-        ]
-        return max(done, default=0)
+        """Number of the last change, 0 where there is none."""
+        return max((n for n, _ in self._folders()), default=0)
 
     def read(self) -> DataFrame | None:
-        v = self.version()
-        return self.spark.read.parquet(f"{self.path}/v{v}") if v else None
+        reader = self.spark.read.schema(self._schema) if self._schema else self.spark.read
+        folders = [f"{self.path}/{n}-{kind}" for n, kind in self._live()]
+        if not self._schema:  # nothing can be told from a folder without rows
+            folders = [x for x in folders if any("=" in s.getPath().getName() for s in self._fs.listStatus(self._at(x)))]
+        parts = [reader.parquet(x) for x in folders]
+        return parts[0] if len(parts) == 1 else apply_deltas(*parts) if parts else None
+
+    def _write(self, counts: DataFrame, n: int, kind: str) -> None:
+        counts.write.mode("overwrite").partitionBy("column_name").parquet(f"{self.path}/{n}-{kind}")
 
     def apply(self, *deltas: DataFrame) -> DataFrame:
-        v = self.version()
-        apply_deltas(self.read(), *deltas).write.mode("overwrite").parquet(f"{self.path}/v{v + 1}")
+        """Adds signed deltas, each with at most one row per key, column and value, and gives the state after them."""
+        self._schema = deltas[0].schema
+        self._write(apply_deltas(None, *deltas) if len(deltas) > 1 else deltas[0].where("n <> 0"), self.version() + 1, "delta")
+        if len(self._live()) > self.MOST_DELTAS:
+            self.compact()
         return self.read()
 
+    def compact(self) -> None:
+        """Writes the state as a base and deletes what it replaces."""
+        replaced, n = self._folders(), self.version() + 1
+        self._write(self.read(), n, "base")
+        for m, kind in replaced:
+            self._fs.delete(self._at(f"{self.path}/{m}-{kind}"), True)
+
 
 def profile(counts: DataFrame, keys: Sequence[str], rules: Mapping[str, ColumnRule]) -> DataFrame:
     """Profile metrics per key and column from a value-count table.

@@ -32,10 +32,17 @@ def _described(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "metadata_export").where("trim(entity_type) <> ''")
 
 
+def _load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of a value-count store after the deltas of all loads. A load's delta is keyed by the load, so loads that have arrived
+    together are applied as one change.
+    """
+    store = profile.ValueCountStore(spark, scratch_path(spark, "value-counts"))
+    return store.apply(profile.value_counts(_described(spark, sf_dir), ["feed", "load_id"], PROFILED))
+
+
 def p2_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profile of each load, from its value counts."""
-    counts = profile.value_counts(_described(spark, sf_dir), ["feed", "load_id"], PROFILED)
-    return profile.profile(counts, ["feed", "load_id"], PROFILED).withColumn("entropy_bits", F.round("entropy_bits", 6))
+    """Profile of each load, from the maintained value counts."""
+    return profile.profile(_load_counts(spark, sf_dir), ["feed", "load_id"], PROFILED).withColumn("entropy_bits", F.round("entropy_bits", 6))
 
 
 def p2_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,17 +50,16 @@ def p2_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _described(spark, sf_dir)
     again = rows.groupBy("feed", "asset_id", "content_ord").agg(F.max("record_id").alias("record_id"))
     stale = rows.join(again, ["feed", "record_id"], "left_anti")
-    state = profile.apply_deltas(
-        profile.value_counts(rows, ["feed"], PROFILED), profile.value_counts(stale, ["feed"], PROFILED, sign=-1)
-    )
+    store = profile.ValueCountStore(spark, scratch_path(spark, "value-counts"))
+    store.apply(profile.value_counts(rows, ["feed"], PROFILED))
+    state = store.apply(profile.value_counts(stale, ["feed"], PROFILED, sign=-1))
     return profile.profile(state, ["feed"], PROFILED).withColumn("entropy_bits", F.round("entropy_bits", 6))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = profile.value_counts(_described(spark, sf_dir), ["feed", "load_id"], PROFILED)
     texts = ("entity_title", "dc_description")
     return profile.breaks(
-        profile.profile(counts, ["feed", "load_id"], PROFILED),
+        profile.profile(_load_counts(spark, sf_dir), ["feed", "load_id"], PROFILED),
         "feed",
         "load_id",
         null_rate=dict.fromkeys(PROFILED, 0.20),
