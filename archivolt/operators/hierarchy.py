@@ -1,4 +1,4 @@
-"""Trees and chains: closures, paths, tree text, redirects. Nesting is bounded by a depth limit and a path guard."""
+"""Trees and chains of any depth: closures, paths, tree text, redirects. Cycles end at the first node that would repeat."""
 
 from __future__ import annotations
 
@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from archivolt.session import cut
 
-#: Deepest nesting that is followed; a chain beyond it stops there.
-MAX_DEPTH = 100
-
 
 def _climb(nodes: DataFrame, ref: str, parent: str, label: str) -> DataFrame:
     """(ref, path, ids, depth) of every node by pointer doubling: after n rounds, paths of up to 2**n nodes.
@@ -31,8 +28,7 @@ def _climb(nodes: DataFrame, ref: str, parent: str, label: str) -> DataFrame:
             F.array("ref").alias("ids"),
         )
     )
-    rounds, span = 0, 1
-    while span < MAX_DEPTH:
+    while not up.where("next IS NOT NULL").isEmpty():
         above = up.select(F.col("ref").alias("next"), F.col("next").alias("_next"), F.col("path").alias("_path"), F.col("ids").alias("_ids"))
         joined = up.join(above, "next", "left").withColumn("_loop", F.coalesce(F.arrays_overlap("ids", "_ids"), F.lit(False)))
         go = F.col("_ids").isNotNull() & ~F.col("_loop")
@@ -44,9 +40,6 @@ def _climb(nodes: DataFrame, ref: str, parent: str, label: str) -> DataFrame:
                 F.when(go, F.concat("_ids", "ids")).otherwise(F.col("ids")).alias("ids"),
             )
         )
-        rounds, span = rounds + 1, span * 2
-        if up.where("next IS NOT NULL").isEmpty():
-            break
     return up.select("ref", "path", "ids", F.size("ids").alias("depth"))
 
 
@@ -108,21 +101,29 @@ def redirect_chains(hops: DataFrame, source: str, target: str, status: str) -> D
     """Chain of redirects from every address that redirects: url, hops (array of from, status, to), final_url, is_loop.
 
     ``hops`` has one hop per address; of several the smallest target counts. A chain ends where an address doesn't
-    redirect or would repeat; every round adds a hop to the live chains.
+    redirect or would repeat. Chains are joined end to end, so a round doubles them and n hops take log2(n) joins.
     """
     hop = hops.groupBy(F.col(source).alias("f")).agg(F.min_by(F.struct(F.col(status).alias("s"), F.col(target).alias("t")), F.struct(target, status)).alias("x")).select("f", "x.s", "x.t")
-    hop = cut(hop.where("t IS NOT NULL"))
     step = F.struct(F.col("f").alias("from"), F.col("s").alias("status"), F.col("t").alias("to"))
-    live = hop.select(F.col("f").alias("url"), F.array(step).alias("hops"), F.array("f", "t").alias("seen"), F.col("t").alias("at"))
-    ended = []
+    chains = cut(hop.where("t IS NOT NULL").select(F.col("f").alias("url"), F.array(step).alias("hops"), F.col("t").alias("at"), F.lit(False).alias("ended"), F.lit(False).alias("is_loop")))
     while True:
-        joined = cut(live.join(hop, live["at"] == hop["f"], "left").withColumn("loop", F.coalesce(F.array_contains("seen", F.col("t")), F.lit(False))))
-        stop = F.col("f").isNull() | F.col("loop")
-        ended.append(joined.where(stop).select("url", "hops", F.col("at").alias("final_url"), "loop"))
-        live = joined.where(~stop).select("url", F.concat("hops", F.array(step)).alias("hops"), F.concat("seen", F.array("t")).alias("seen"), F.col("t").alias("at"))
+        live = chains.where("NOT ended")
         if live.isEmpty():
-            break
-    return reduce(lambda a, b: a.unionByName(b), ended).withColumnRenamed("loop", "is_loop")
+            return chains.select("url", "hops", F.col("at").alias("final_url"), "is_loop")
+        on = chains.select(F.col("url").alias("at"), F.col("hops").alias("_hops"), F.col("at").alias("_at"), F.col("ended").alias("_ended"), F.col("is_loop").alias("_loop"))
+        # the first hop that leads back into the chain ends it
+        seen = F.concat(F.array("url"), F.transform("hops", lambda h: h["to"]))
+        back = F.array_position(F.transform("_hops", lambda h: F.array_contains("_seen", h["to"])), True).cast("int")
+        joined = live.join(on, "at", "left").withColumn("_seen", seen).withColumn("_back", F.coalesce(back, F.lit(0)))
+        more, turns = F.col("_hops").isNotNull(), F.col("_back") > 0
+        longer = joined.select(
+            "url",
+            F.when(~more, F.col("hops")).when(turns, F.concat("hops", F.slice("_hops", F.lit(1), F.col("_back") - 1))).otherwise(F.concat("hops", "_hops")).alias("hops"),
+            F.when(~more | (F.col("_back") == 1), F.col("at")).when(turns, F.get("_hops", F.greatest(F.lit(0), F.col("_back") - 2))["to"]).otherwise(F.col("_at")).alias("at"),
+            (~more | turns | F.coalesce("_ended", F.lit(False))).alias("ended"),
+            (turns | F.coalesce("_loop", F.lit(False))).alias("is_loop"),
+        )
+        chains = cut(chains.where("ended").unionByName(longer))
 
 
 def chain_text(hops) -> F.Column:
@@ -130,7 +131,7 @@ def chain_text(hops) -> F.Column:
     return F.array_join(F.transform(hops, lambda h: F.concat(h["from"], F.lit(" → "), h["to"], F.lit(" ("), h["status"], F.lit(")"))), " | ")
 
 
-def sitemap_pages(entries: DataFrame, roots: Sequence[str], max_depth: int = MAX_DEPTH) -> DataFrame:
+def sitemap_pages(entries: DataFrame, roots: Sequence[str]) -> DataFrame:
     """Distinct page addresses that are reached from sitemaps through sitemap indexes.
 
     ``entries``: sitemap, kind (sitemap or url), loc. A sitemap is visited once, however often it is listed.
@@ -139,7 +140,7 @@ def sitemap_pages(entries: DataFrame, roots: Sequence[str], max_depth: int = MAX
     children = entries.where("kind = 'sitemap'").select("sitemap", "loc").distinct()
     seen = spark.createDataFrame([(r,) for r in sorted(set(roots))], "sitemap string")
     front = seen
-    for _ in range(max_depth):
+    while True:
         front = cut(front.join(children, "sitemap").select(F.col("loc").alias("sitemap")).distinct().join(seen, "sitemap", "left_anti"))
         if front.isEmpty():
             break

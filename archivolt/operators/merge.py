@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from archivolt.functions.text import or_empty
@@ -17,8 +17,10 @@ def best_row(df: DataFrame, keys: Sequence[str], pos: str) -> DataFrame:
     Rows with a null key form one group. The order column must be unique for a defined result.
     """
     cells = reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("int") for c in df.columns if c != pos])
-    order = Window.partitionBy(*keys).orderBy(cells.desc(), F.col(pos).asc())
-    return df.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    rest = [c for c in df.columns if c not in keys]
+    # combines on the map side, so a key with many rows, the null key too, sends one row per task
+    best = df.withColumn("_order", F.struct((-cells).alias("cells"), F.col(pos).alias("pos"))).groupBy(*keys).agg(F.min_by(F.struct(*rest), "_order").alias("_r"))
+    return best.select(*keys, "_r.*").select(*df.columns)
 
 
 def first_row(df: DataFrame, keys: Sequence[str], pos: str) -> DataFrame:

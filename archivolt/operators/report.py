@@ -31,7 +31,9 @@ def banded(df: DataFrame, score: str, bands: Sequence[tuple[str, float]]) -> Dat
     label = None
     for name, low in bands:
         label = (F if label is None else label).when(F.col(score) >= low, name)
-    counts = df.groupBy(label.alias("band")).agg(F.count(F.lit(1)).alias("n")).where("band IS NOT NULL")
+    # rows are counted by score first, so the score's own expression is there once and not once per band
+    by_score = df.groupBy(score).agg(F.count(F.lit(1)).alias("n"))
+    counts = by_score.groupBy(label.alias("band")).agg(F.sum("n").alias("n")).where("band IS NOT NULL")
     every = df.sparkSession.createDataFrame([(n,) for n, _ in bands], "band string")
     filled = every.join(counts, "band", "left").select("band", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
     share = 100.0 * F.col("n") / F.sum("n").over(Window.partitionBy())

@@ -257,7 +257,7 @@ def first_bitstreams(spark, d):
 
 @query(
     """WITH t AS (SELECT DISTINCT entity_title AS text FROM metadata_export WHERE entity_title IS NOT NULL),
-n AS (SELECT DISTINCT lower(term) AS needle FROM vocabulary WHERE length(term) >= 4)
+n AS (SELECT DISTINCT lower(term) AS needle FROM vocabulary)
 SELECT text, needle FROM t JOIN n ON contains(text, needle)"""
 )
 def titles_naming_terms(spark, d):

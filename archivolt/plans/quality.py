@@ -13,6 +13,8 @@ from archivolt.sources import html_pages, sinks, text_files, xml_files
 
 query = Registry()
 
+#: Terms of a list that rules may be made of; a longer list is refused, not cut.
+MOST_TERMS = 10_000
 _TYPES = ("Collection", "Dataset", "Interactive Resource", "Moving Image", "Physical Object", "Software", "Sound", "Still Image", "Text")
 _REQUIRED = ("dc_title", "dc_description", "dc_creator", "dc_date", "dc_type", "dc_format", "dc_language")
 #: Columns that the scorecard reads as arrays.
@@ -20,8 +22,9 @@ _ARRAYS = ("dc_title", "dc_description", "dc_creator", "dc_date", "dc_type", "dc
 
 
 def _profile(spark, d) -> rules.Profile:
-    # the canonical lists are fixed tables; a few hundred terms at most are accepted
-    terms = table(spark, d, "vocabulary").where("field_name = 'icaew_content_type'").select("term").orderBy("term").limit(1000).collect()
+    terms = table(spark, d, "vocabulary").where("field_name = 'icaew_content_type'").select("term").orderBy("term").limit(MOST_TERMS + 1).collect()
+    if len(terms) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} terms in a list that rules are made of")
     return rules.Profile(required=_REQUIRED, types=_TYPES, content_types=tuple(r[0] for r in terms))
 
 
@@ -123,7 +126,7 @@ def _pages(spark, d):
 
 @query(
     r"""SELECT record_id, nullif(trim(coalesce(entity_title, '')), '') AS title, true AS has_link, false AS has_secure, ['/a/' || record_id] AS links
-FROM metadata_export WHERE entity_title IS NULL OR NOT (entity_title LIKE '%<%' OR entity_title LIKE '%&%')"""
+FROM metadata_export"""
 )
 def html_predicates(spark, d):
     """Title, elements and links of pages."""
@@ -134,7 +137,7 @@ def html_predicates(spark, d):
     )
 
 
-@query("SELECT DISTINCT dc_type AS value FROM metadata_export WHERE trim(dc_type) <> '' AND NOT (dc_type LIKE '%<%' OR dc_type LIKE '%&%') AND dc_type = trim(dc_type, '  \n\t')")
+@query(r"SELECT DISTINCT regexp_replace(dc_type, '^[\s\x{00a0}]+|[\s\x{00a0}]+$', '', 'g') AS value FROM metadata_export WHERE regexp_replace(dc_type, '[\s\x{00a0}]+', '', 'g') <> ''")
 def html_table_column(spark, d):
     """Distinct cells of one column of the pages' tables."""
     rows = table(spark, d, "metadata_export").where("dc_type IS NOT NULL")
@@ -159,7 +162,7 @@ def log_fields(spark, d):
 
 @query(
     r"""SELECT record_id, CASE WHEN trim(dc_title) <> '' THEN [regexp_replace(dc_title, '^[[:space:]]+|[[:space:]]+$', '', 'g')] ELSE [] END AS titles, CASE WHEN trim(dc_date) <> '' THEN [trim(dc_date)] ELSE [] END AS dates
-FROM metadata_export WHERE NOT (coalesce(dc_title, '') LIKE '%<%' OR coalesce(dc_title, '') LIKE '%&%')"""
+FROM metadata_export"""
 )
 def xml_fields(spark, d):
     """Values by element name of XML fragments."""

@@ -78,7 +78,7 @@ h AS (SELECT f, x[1] AS t, x[2] AS s FROM hops),
 c AS (
   SELECT f AS url, [f, t] AS seen, t AS final_url, f || ' → ' || t || ' (' || s || ')' AS chain, 1 AS n FROM h
   UNION ALL
-  SELECT c.url, list_append(c.seen, h.t), h.t, c.chain || ' | ' || h.f || ' → ' || h.t || ' (' || h.s || ')', c.n + 1 FROM c JOIN h ON c.final_url = h.f WHERE NOT list_contains(c.seen, h.t) AND c.n <= 20),
+  SELECT c.url, list_append(c.seen, h.t), h.t, c.chain || ' | ' || h.f || ' → ' || h.t || ' (' || h.s || ')', c.n + 1 FROM c JOIN h ON c.final_url = h.f WHERE NOT list_contains(c.seen, h.t)),
 last AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY url ORDER BY n DESC) = 1)
 SELECT url, chain, final_url, EXISTS (SELECT 1 FROM h WHERE h.f = last.final_url AND list_contains(last.seen, h.t)) AS is_loop FROM last"""
 )

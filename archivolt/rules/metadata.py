@@ -131,7 +131,7 @@ def validator(df: DataFrame, profile: Profile, acronyms: Sequence[str] = (), ign
     shouting = list(acronyms)
     miswritten = F.exists(words, lambda w: F.upper(bare(w)).isin(shouting) & (bare(w) != F.upper(bare(w)))) if shouting else F.lit(False)
     after_colon = F.exists(
-        F.slice(F.split(title, ":"), 2, 1000), lambda p: strip(p).rlike(r"^\p{Lu}") & ~F.split(strip(p), r"\s+")[0].isin(shouting or [""])
+        F.slice(F.split(title, ":"), F.lit(2), F.size(F.split(title, ":"))), lambda p: strip(p).rlike(r"^\p{Lu}") & ~F.split(strip(p), r"\s+")[0].isin(shouting or [""])
     )
     say = lambda c, t: F.lit(f"{profile.label(c)}: {t}")
     rules = [

@@ -1,15 +1,17 @@
 """Web-archive record source: .warc, .warc.gz and records inside .wacz or .zip files, nested ones included.
 
 A file is a partition and is read as a stream, record by record; nothing is unpacked to disk. A file that breaks off
-keeps the records before the break.
+keeps the records before the break and has a last row of the type ``unreadable``, with the reason as its payload.
 """
 
 from __future__ import annotations
 
 import gzip
+import hashlib
 import io
 import os
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -19,7 +21,8 @@ SCHEMA = (
     "http_status string, location string, http_content_type string, payload binary"
 )
 ENDINGS = (".warc", ".warc.gz", ".wacz", ".zip")
-NESTING = 8
+#: Type of the row that stands for what couldn't be read.
+UNREADABLE = "unreadable"
 
 
 def archive_files(path: str) -> list[str]:
@@ -74,20 +77,28 @@ def records(stream) -> Iterator[dict]:
             }
         yield record
         if len(body) < length:
-            return
+            raise EOFError(f"record of {length} bytes ends after {len(body)}")
+
 
+def _open(name: str, raw, within: tuple[bytes, ...] = ()) -> Iterator[tuple[str, object]]:
+    """(name, uncompressed stream) of the record files in a stream, at any depth.
 
-def _open(name: str, raw, depth: int) -> Iterator[tuple[str, object]]:
-    """(name, uncompressed stream) of the record files in a stream."""
+    ``within`` are the digests of the nested archives around; one that holds itself isn't opened again.
+    """
     low = name.lower()
-    if low.endswith((".wacz", ".zip")) and depth < NESTING:
+    if low.endswith((".wacz", ".zip")):
         with zipfile.ZipFile(raw) as z:
             for member in sorted(z.namelist()):
                 if member.lower().endswith(ENDINGS):
                     with z.open(member) as inner:
                         # a nested archive needs to be seekable
-                        content = io.BytesIO(inner.read()) if member.lower().endswith((".wacz", ".zip")) else inner
-                        yield from _open(f"{name}!{member}", content, depth + 1)
+                        if member.lower().endswith((".wacz", ".zip")):
+                            body = inner.read()
+                            digest = hashlib.sha256(body).digest()
+                            if digest not in within:
+                                yield from _open(f"{name}!{member}", io.BytesIO(body), (*within, digest))
+                        else:
+                            yield from _open(f"{name}!{member}", inner, within)
     elif low.endswith(".gz"):
         yield name, io.BufferedReader(gzip.GzipFile(fileobj=raw))
     elif low.endswith(".warc"):
@@ -110,18 +121,28 @@ class _Reader(DataSourceReader):
     def read(self, partition):
         kinds = {k.strip() for k in self.options.get("types", "").split(",") if k.strip()}
         prefix, with_payload = self.options.get("uriprefix", ""), self.options.get("payload", "true") == "true"
+        base = os.path.basename(partition.path)
+
+        def broken(name: str, why: Exception):
+            return (name, partition.ord, None, UNREADABLE, None, None, None, None, None, None, repr(why).encode())
+
         with open(partition.path, "rb") as raw:
-            for name, stream in _open(os.path.basename(partition.path), raw, 0):
-                try:
-                    for pos, r in enumerate(records(stream)):
-                        if (kinds and r["rec_type"] not in kinds) or (prefix and not (r["target_uri"] or "").startswith(prefix)):
-                            continue
-                        yield (
-                            name, partition.ord, pos, r["rec_type"], r["target_uri"], r["warc_date"], r["content_type"],
-                            r["http_status"], r["location"], r["http_content_type"], r["payload"] if with_payload else None,
-                        )
-                except (EOFError, OSError, ValueError):
-                    continue
+            try:
+                for name, stream in _open(base, raw):
+                    try:
+                        for pos, r in enumerate(records(stream)):
+                            if (kinds and r["rec_type"] not in kinds) or (prefix and not (r["target_uri"] or "").startswith(prefix)):
+                                continue
+                            yield (
+                                name, partition.ord, pos, r["rec_type"], r["target_uri"], r["warc_date"], r["content_type"],
+                                r["http_status"], r["location"], r["http_content_type"], r["payload"] if with_payload else None,
+                            )
+                    except (EOFError, OSError, ValueError, zlib.error) as why:
+                        if not kinds or UNREADABLE in kinds:
+                            yield broken(name, why)
+            except (EOFError, OSError, ValueError, zipfile.BadZipFile, zlib.error) as why:
+                if not kinds or UNREADABLE in kinds:
+                    yield broken(base, why)
 
 
 class WebArchive(DataSource):

@@ -26,7 +26,9 @@ def test_web_archive(spark, tmp_path):
         z.writestr("archive/x.warc", two)
         z.writestr("pages/pages.jsonl", '{"format":"json-pages-1.0"}\n{"url":"http://a/","status":200}\nbroken\n{"url":"http://q/"}\n')
     (tmp_path / "note.txt").write_text("no archive")
-    rows = web_archive.read_records(spark, str(tmp_path)).orderBy("file_ord", "pos").collect()
+    rows = web_archive.read_records(spark, str(tmp_path)).orderBy("file_ord", F.asc_nulls_last("pos")).collect()
+    # the record that breaks off is followed by a row that says so
+    assert b"ends after" in bytes(rows.pop().payload)
     assert [(r.rec_type, r.target_uri, r.http_status, r.location) for r in rows] == [
         ("warcinfo", None, None, None), ("response", "http://a/", "200", None), ("response", "http://b/", "301", "http://c/"), ("response", "http://a/", "404", None), ("response", "http://z/", "200", None),
     ]
@@ -35,7 +37,10 @@ def test_web_archive(spark, tmp_path):
     pages = {(r.url, r.status) for r in web_archive.wacz_pages(spark, str(tmp_path)).collect()}
     assert pages == {("http://a/", 200), ("http://q/", None)}
     merged = sets.merge_records(web_archive.read_records(spark, str(tmp_path)))
-    assert merged.count() == 5
+    assert merged.where("rec_type <> 'unreadable'").count() == 5
+    (tmp_path / "bad.warc").write_bytes(b"WARC/1.0\r\nContent-Length: x\r\n\r\n")
+    (tmp_path / "bad.wacz").write_bytes(b"no archive")
+    assert sorted(r.file for r in web_archive.read_records(spark, str(tmp_path)).where("rec_type = 'unreadable'").collect()) == ["bad.wacz", "bad.warc", "two.wacz!archive/x.warc"]
 
 
 def test_text_sources(spark, tmp_path):
