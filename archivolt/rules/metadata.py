@@ -19,6 +19,13 @@ from archivolt.rules.rule import Dimension, Rule, score, validate
 #: Fixed points and limits of the score.
 REQUIRED_POINTS, MOST_SUBJECTS, SHORT_DESCRIPTION = 5, 10, 80
 ISO_DATE = r"\b\d{4}-\d{2}-\d{2}\b"
+#: Words that count as American spelling.
+AMERICAN = (
+    "organiz", "recogniz", "analyz", "optimiz", "prioritiz", "finaliz", "summariz", "standardiz", "minimiz", "maximiz", "realiz", "specializ", "authoriz", "categoriz",
+    "characteriz", "emphasiz", "criticiz", "apologiz", "memoriz", "visualiz", "color", "behavior", "honor", "labor", "favor", "harbor", "neighbor", "center", "centers", "defense",
+    "offense", "catalog", "dialog", "analog", "program", "enrollment", "fulfill", "skillful", "traveled", "canceled", "labeled", "modeled", "modeling", "traveling", "counselor",
+    "counseled", "jewelry", "gray", "maneuver", "skeptical", "pajamas",
+)
 
 
 @dataclass(frozen=True)
@@ -36,6 +43,16 @@ class Profile:
     reserved: Sequence[str] = ()
     whitespace_fields: Sequence[str] = ("dc_title", "dc_creator", "dc_date", "dc_type", "dc_format", "dc_language", "dc_description", "dc_subject")
     names: Mapping[str, str] = field(default_factory=dict)
+    american: Sequence[str] = AMERICAN
+    #: Columns of persons and bodies by role, and a name that must be shortened in them.
+    roles: Mapping[str, str] = field(default_factory=lambda: {"creator": "dc_creator"})
+    full_name: str = ""
+    abbreviation: str = ""
+    notes: str = ""
+
+    @property
+    def spelling(self) -> str:
+        return rf"(?i)\b({'|'.join(self.american)})\b"
 
     def label(self, column: str) -> str:
         return self.names.get(column, column)
@@ -45,9 +62,18 @@ def _values(column: str) -> Column:
     return stripped_values(F.col(column))
 
 
+def _role_fault(role: str, values: Column, profile: Profile) -> Column:
+    """Flag of the first faulty value of a role, null without one."""
+    long = F.contains if profile.full_name else lambda v, _: F.lit(False)
+    fault = lambda v: F.when(F.endswith(v, F.lit(".")), f"{role}_trailing_period").when(long(v, F.lit(profile.full_name)), f"{role}_use_{profile.abbreviation}_abbreviation")
+    return F.get(F.array_compact(F.transform(values, fault)), F.lit(0))
+
+
 def scorecard(df: DataFrame, profile: Profile, scalar: Sequence[str] = ("entity_title", "entity_description", "filename", "security_tag")) -> DataFrame:
     """Score of each record by seven dimensions, with flags in a fixed order.
 
+    A role whose values hold several faults is flagged for the first faulty value only, for its full stop before its name.
+
     Columns of ``profile`` are arrays, those of ``scalar`` plain text. A blank field gains nothing but where being
     absent is allowed (content type, subjects, equal blanks).
     """
@@ -91,13 +117,15 @@ def scorecard(df: DataFrame, profile: Profile, scalar: Sequence[str] = ("entity_
     ]
     rules += [Rule(f"reserved_{f}", F.size(_values(f)) > 0, said(f"reserved_{profile.label(f)}_populated"), "info") for f in profile.reserved]
     if suffix:
-        before = strip(F.expr(f"substring(trim(dc_description[0]), 1, greatest(0, length(trim(dc_description[0])) - {len(suffix)}))"))
+        before = strip(F.substr(description, F.lit(1), F.greatest(F.lit(0), F.length(description) - len(suffix))))
         rules.append(Rule("period", has_suffix & (before != "") & ~before.rlike(r"[.?]$"), said("description_missing_period_before_ai_suffix"), "info"))
     untidy = [F.when(F.exists(F.coalesce(F.col(f), F.array().cast("array<string>")), lambda v: v != strip(v)), F.lit(profile.label(f))) for f in profile.whitespace_fields]
     spaced = F.array_compact(F.array(*untidy))
     fmt = first_of(formats)
     rules += [
         Rule("iso_date", title.rlike(ISO_DATE), said("title_contains_iso_date"), "info"),
+        Rule("american_description", description.rlike(profile.spelling), said("american_spelling_in_desc"), "info"),
+        Rule("american_title", title.rlike(profile.spelling), said("american_spelling_in_title"), "info"),
         Rule("white_space", F.size(spaced) > 0, F.concat(said("whitespace_in:"), F.array_join(spaced, "|")), "info"),
         Rule("tag", (tag != "") & ~tag.isin(list(profile.security_tags)), F.concat(said("invalid_security_tag:"), tag), "info"),
         Rule(
@@ -106,6 +134,8 @@ def scorecard(df: DataFrame, profile: Profile, scalar: Sequence[str] = ("entity_
             F.concat(F.when(fmt != F.lower(fmt), "format_not_lowercase:").otherwise("unrecognised_format:"), fmt),
             "info",
         ),
+        *[Rule(f"role_{r}", _role_fault(r, _values(c), profile).isNotNull(), _role_fault(r, _values(c), profile), "info") for r, c in profile.roles.items()],
+        *([Rule("notes", F.exists(_values(profile.notes), lambda v: F.endswith(v, F.lit("."))), said("notes_trailing_period"), "info")] if profile.notes else []),
         Rule("ascii_entity_title", non_ascii(e_title), said("non_ascii_in_entity_title"), "info"),
         Rule("ascii_title", non_ascii(title), said("non_ascii_in_dc_title"), "info"),
         Rule("ascii_description", non_ascii(description), said("non_ascii_in_dc_desc"), "info"),
@@ -117,15 +147,31 @@ def scorecard(df: DataFrame, profile: Profile, scalar: Sequence[str] = ("entity_
 BANDS = (("90-100", 90), ("75-89", 75), ("50-74", 50), ("25-49", 25), ("0-24", 0))
 
 
-def validator(df: DataFrame, profile: Profile, acronyms: Sequence[str] = (), ignored: Sequence[str] = ()) -> DataFrame:
-    """Errors and warnings of each record with plain text columns (F37, F38, R1-R27); blank cells pass unless required.
+def missing_headers(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """One row with the required columns that a table lacks, in order; no row where it has all."""
+    lacking = [c for c in required if c not in df.columns]
+    return df.sparkSession.createDataFrame([(", ".join(lacking),)] if lacking else [], "missing string")
+
 
-    Several values of a field are expected to be joined by '; '. A rule is ignored by the name of its field.
+def validator(
+    df: DataFrame,
+    profile: Profile,
+    acronyms: Sequence[str] = (),
+    proper_nouns: Sequence[str] = (),
+    ignored: Sequence[str] = (),
+    ascii_fields: Sequence[str] = ("dc_title", "entity_title", "dc_creator", "dc_description", "entity_description", "dc_subject", "dc_relation", "icaew_internal_reference"),
+    spaced_fields: Sequence[str] = ("dc_title", "entity_title", "dc_creator", "dc_subject", "dc_relation"),
+    suffixes: Sequence[str] = (),
+) -> DataFrame:
+    """Errors and warnings of each record with plain text columns (F37, F38, R1, R3-R27 but R13); blank cells pass.
+
+    Several values of a field are expected to be joined by '; '. A rule is ignored by the name of its field. ``suffixes`` are
+    closing remarks of a description, before which its sentence must end.
     """
     text = lambda c: strip(F.coalesce(F.col(c), F.lit("")))
     title, date, reference, content = text("dc_title"), text("dc_date"), text("icaew_internal_reference"), text("icaew_content_type")
-    type_, language, fmt, creator = text("dc_type"), text("dc_language"), text("dc_format"), text("dc_creator")
-    relation, description, tag = text("dc_relation"), text("dc_description"), text("security_tag")
+    type_, language, fmt = text("dc_type"), text("dc_language"), text("dc_format")
+    relation, tag = text("dc_relation"), text("security_tag")
     words = F.split(title, r"\s+")
     bare = lambda w: F.regexp_replace(w, r"[^\p{L}\p{N}]", "")
     shouting = list(acronyms)
@@ -152,14 +198,46 @@ def validator(df: DataFrame, profile: Profile, acronyms: Sequence[str] = (), ign
         Rule("dc_language", (language != "") & ~language.rlike(profile.languages), say("dc_language", "not a language code")),
         Rule("dc_format", fmt != F.lower(fmt), say("dc_format", "not in lower case")),
         Rule("dc_format", (fmt != "") & ~F.lower(fmt).rlike(profile.formats), say("dc_format", "unknown format")),
-        Rule("non_ascii", non_ascii(title), say("dc_title", "characters beyond ASCII")),
-        Rule("dc_creator", F.exists(F.split(creator, ";"), lambda p: F.trim(p) == "") & F.contains(creator, F.lit(";")), say("dc_creator", "empty item in the list"), "warning"),
-        Rule("dc_creator", F.endswith(creator, F.lit(".")), say("dc_creator", "ends with a full stop"), "warning"),
+    ]
+    parts = F.slice(F.split(reference, "-"), F.lit(2), F.greatest(F.lit(0), F.size(F.split(reference, "-")) - 1))
+    titled = lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2))))
+    low_acronyms = F.filter(parts, lambda w: F.upper(w).isin(shouting or [""]) & (w != F.upper(w)) & (w != ""))
+    low_nouns = F.filter(parts, lambda w: titled(w).isin(list(proper_nouns) or [""]) & (w != titled(w)) & (w != ""))
+    low_words = F.filter(parts, lambda w: w.rlike(r"^[^\p{Lu}0-9]"))
+    named = lambda words, t: F.concat(say("icaew_internal_reference", t + ": "), F.array_join(words, ", "))
+    rules += [
+        Rule("icaew_internal_reference", F.size(low_acronyms) > 0, named(low_acronyms, "acronym not in capitals")),
+        Rule("icaew_internal_reference", F.size(low_nouns) > 0, named(low_nouns, "name not in title case")),
+        Rule("icaew_internal_reference", F.size(low_words) > 0, named(low_words, "word not in title case")),
+    ]
+    for c in ascii_fields:
+        beyond = F.array_sort(F.array_distinct(F.regexp_extract_all(text(c), F.lit(r"[^\x00-\x7F]"), F.lit(0))))
+        rules.append(Rule("non_ascii", F.size(beyond) > 0, F.concat(say(c, "characters beyond ASCII: "), F.array_join(beyond, ""))))
+    for role, c in profile.roles.items():
+        v = text(c)
+        rules += [
+            Rule(c, F.lit(role != "publisher") & F.contains(v, F.lit(";")) & F.exists(F.split(v, ";"), lambda p: F.trim(p) == ""), say(c, "empty item in the list"), "warning"),
+            Rule(c, F.contains(v, F.lit(profile.full_name)) if profile.full_name else F.lit(False), say(c, f"use {profile.abbreviation}"), "warning"),
+            Rule(c, F.endswith(v, F.lit(".")), say(c, "ends with a full stop"), "warning"),
+        ]
+    rules += [
         Rule("dc_relation", F.contains(relation, F.lit(";")) & F.exists(F.split(relation, ";"), lambda p: F.trim(p) == ""), say("dc_relation", "empty item in the list"), "warning"),
-        Rule("dc_description", F.contains(description, F.lit("  ")), say("dc_description", "double space"), "warning"),
-        Rule("dc_description", (description != "") & ~description.rlike(r"[.?]$"), say("dc_description", "doesn't end a sentence"), "warning"),
-        Rule("security_tag", (tag != "") & ~tag.isin(list(profile.security_tags)), say("security_tag", "unknown tag"), "warning"),
+        *[Rule(c, F.contains(text(c), F.lit("  ")), say(c, "double space"), "warning") for c in spaced_fields],
     ]
+    for c in ("entity_description", "dc_description"):
+        v = text(c)
+        at, before = F.lit(False), v
+        for suffix in reversed(suffixes):
+            at = F.contains(v, F.lit(suffix)) | at
+            before = F.when(F.contains(v, F.lit(suffix)), strip(F.substring_index(v, suffix, 1))).otherwise(before)
+        rules += [
+            Rule(c, F.contains(v, F.lit("  ")), say(c, "double space"), "warning"),
+            Rule(c, at & ~F.endswith(before, F.lit(".")), say(c, "no full stop before the closing remark"), "warning"),
+            Rule(c, (v != "") & ~at & ~v.rlike(r"[.?]$"), say(c, "doesn't end a sentence"), "warning"),
+        ]
+    if profile.notes:
+        rules.append(Rule(profile.notes, F.endswith(text(profile.notes), F.lit(".")), say(profile.notes, "ends with a full stop"), "warning"))
+    rules.append(Rule("security_tag", (tag != "") & ~tag.isin(list(profile.security_tags)), say("security_tag", "unknown tag"), "warning"))
     return validate(df, rules, ignored)
 
 
