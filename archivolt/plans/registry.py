@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from archivolt.plans import captures, problems, problems_sql, quality, tables, trees
+from archivolt.plans import captures, files, problems, problems_sql, quality, tables, trees
 
-_PARTS = (captures.query, tables.query, trees.query, quality.query)
+_PARTS = (captures.query, tables.query, trees.query, quality.query, files.query)
 
 QUERIES = {**problems.QUERIES}
 ORACLE = {**problems_sql.ORACLE}
