@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from archivolt.operators.widen import with_ordinals
 from archivolt.session import cut
 
 
@@ -81,7 +82,6 @@ def render_tree(nodes: DataFrame) -> DataFrame:
     """Lines of the tree text in order: line_no, line.
 
     Siblings are sorted without regard to case. A node's prefix shows for each ancestor whether more siblings follow.
-    The line number needs a total order, so this is meant for a tree that is to be read.
     """
     parent = F.regexp_replace("node_path", r"/?[^/]*$", "")
     order = Window.partitionBy("_parent").orderBy(F.lower("name"), "name")
@@ -94,7 +94,8 @@ def render_tree(nodes: DataFrame) -> DataFrame:
     prefix = F.transform(F.slice("a", F.lit(1), F.size("a") - 1), lambda x: F.when(x["_ul"], "    ").otherwise("│   "))
     mark = F.when(F.element_at("a", -1)["_ul"], "└── ").otherwise("├── ")
     ranked = joined.select(F.concat(F.array_join(prefix, ""), mark, "name").alias("line"), F.transform("a", lambda x: x["_ui"]).alias("_order"))
-    return ranked.select(F.row_number().over(Window.orderBy("_order")).alias("line_no"), "line")
+    # ranges are numbered apart, so no task sees all lines
+    return ranked.join(with_ordinals(ranked.select("_order"), "_order"), "_order").select((F.col("ordinal") + 1).cast("int").alias("line_no"), "line")
 
 
 def redirect_chains(hops: DataFrame, source: str, target: str, status: str) -> DataFrame:

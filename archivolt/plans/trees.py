@@ -58,13 +58,31 @@ def path_tree(spark, d):
     return hierarchy.paths_to_tree(table(spark, d, "metadata_export"), "preservica_path", "asset_id", "record_id")
 
 
+@query(f"WITH {_TREE} SELECT * FROM tree WHERE depth = 2")
+def path_tree_level(spark, d):
+    """Nodes of one level."""
+    return hierarchy.paths_to_tree(table(spark, d, "metadata_export"), "preservica_path", "asset_id", "record_id", max_depth=2).where("depth = 2")
+
+
 @query(f"WITH {_TREE} SELECT * FROM tree WHERE depth <= 2")
 def path_tree_depth(spark, d):
     """P21."""
     return hierarchy.paths_to_tree(table(spark, d, "metadata_export"), "preservica_path", "asset_id", "record_id", max_depth=2)
 
 
-@query()
+@query(
+    f"""WITH {_UP},
+s AS (SELECT list_filter(string_split(array_to_string(path, '/'), '/'), lambda x: trim(x) <> '') AS s FROM done),
+nodes AS (SELECT DISTINCT s[1:i] AS s FROM (SELECT s, unnest(range(1, len(s) + 1)) AS i FROM s)),
+placed AS (
+  SELECT s, s[1:len(s) - 1] AS above, s[-1] AS name, row_number() OVER w AS i, lead(s) OVER w IS NULL AS last
+  FROM nodes WINDOW w AS (PARTITION BY s[1:len(s) - 1] ORDER BY lower(s[-1]), s[-1])),
+drawn AS (
+  SELECT s, [i] AS k, CASE WHEN last THEN '    ' ELSE '│   ' END AS below, CASE WHEN last THEN '└── ' ELSE '├── ' END || name AS line FROM placed WHERE len(above) = 0
+  UNION ALL
+  SELECT p.s, list_append(d.k, p.i), d.below || CASE WHEN p.last THEN '    ' ELSE '│   ' END, d.below || CASE WHEN p.last THEN '└── ' ELSE '├── ' END || p.name FROM drawn d JOIN placed p ON p.above = d.s)
+SELECT CAST(row_number() OVER (ORDER BY k) AS INT) AS line_no, line FROM drawn"""
+)
 def folder_tree_text(spark, d):
     """The folders as indented text."""
     paths = hierarchy.node_paths(table(spark, d, "entity_folder"), "ref", "parent", "title").withColumn("pos", F.col("ref"))
@@ -105,12 +123,12 @@ def _entries(spark, d):
 
 
 @query(
-    rf"""WITH {_ENTRIES}, used AS (SELECT DISTINCT regexp_replace(path, '/[^/]*$', '') AS path FROM entries WHERE is_dir OR NOT regexp_matches(regexp_replace(path, '^.*/', ''), '^Second .*$'))
+    rf"""WITH {_ENTRIES}, used AS (SELECT DISTINCT regexp_replace(path, '/[^/]*$', '') AS path FROM entries WHERE is_dir OR NOT regexp_matches(regexp_replace(path, '^.*/', ''), '^.*a.*$'))
 SELECT path FROM entries WHERE is_dir AND path NOT IN (SELECT path FROM used)"""
 )
 def empty_folders(spark, d):
     """Folders with nothing but ignored entries."""
-    return hierarchy.empty_folders(_entries(spark, d), "path", "is_dir", ["Second *"])
+    return hierarchy.empty_folders(_entries(spark, d), "path", "is_dir", ["*a*"])
 
 
 @query(
