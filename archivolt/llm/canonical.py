@@ -66,10 +66,10 @@ SELECT field_name, cell, array_join(slice(concat(words, words), s + 1, l), ' ')
   slice(concat(dotted, dotted), s + 1, l) AS dotted, s, m - l AS extra
 FROM (SELECT *, explode(sequence(0, m - 1)) AS s FROM (
   SELECT *, explode(CASE WHEN m <= widest THEN sequence(1, m) ELSE sequence(1, widest) END) AS l
-  FROM (SELECT * FROM {open} WHERE m > 0) CROSS JOIN (SELECT coalesce(max(size(words)), 1) AS widest FROM {labels})))
+  FROM (SELECT *, (SELECT coalesce(max(size(words)), 1) FROM {labels}) AS widest FROM {open} WHERE m > 0)))
 WHERE (l = m OR s + l <= m) AND m - l <= {extra}
 UNION ALL
-SELECT field_name, cell, plain, words, dotted, 0, 0 FROM {open}, (SELECT coalesce(max(size(words)), 1) AS widest FROM {labels}) WHERE m > widest
+SELECT field_name, cell, plain, words, dotted, 0, 0 FROM {open} WHERE m > (SELECT coalesce(max(size(words)), 1) FROM {labels})
 """
 
 # the places a segment can stand at: what is shifted before it and after it are operations
