@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from archivolt.functions.text import base_name, strip
+from archivolt.functions.text import strip
 from archivolt.session import cut, scratch_path
 
 #: Entities in an ordinal range, and attributes a schema may have.
@@ -47,7 +47,7 @@ def attribute_key(col: Column) -> Column:
 
 def entity_name(col: Column) -> Column:
     """Bare file name without path, trimmed, lower case."""
-    return F.lower(strip(base_name(strip(col))))
+    return F.lower(strip(F.substring_index(F.replace(strip(col), F.lit("\\"), F.lit("/")), "/", -1)))
 
 
 _NUMBER = r"[+-]?(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)"
@@ -112,7 +112,8 @@ def distinct_cells(rows: DataFrame, attributes: Iterable[Attribute]) -> DataFram
     )
     term = strip(F.col("term"))
     typed = (
-        rows.select(entity_name(F.col("document")).alias("entity"), attribute_key(F.col("rulebase_class")).alias("_key"), term.alias("term"))
+        # made by a generator, as the filters below would otherwise compute every expression a second time in the scan
+        rows.select(F.inline(F.array(F.struct(entity_name(F.col("document")).alias("entity"), attribute_key(F.col("rulebase_class")).alias("_key"), term.alias("term")))))
         .where("term <> '' AND entity <> ''")
         .join(F.broadcast(known), "_key")  # at most MOST_ATTRIBUTES rows
         .select("entity", "attribute", "multi", "term", F.col("value_type") == "text", typed_value(F.col("term"), F.col("value_type")).alias("value"))
