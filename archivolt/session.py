@@ -64,5 +64,12 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder, in a folder of this application that is deleted when it ends."""
+    context = spark.sparkContext
+    root = os.path.join(shared_dir(spark), f"scratch-{context.applicationId}")
+    folder = context._jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
