@@ -66,11 +66,11 @@ def xml_rows(elements: DataFrame, key: str, root: str, prefix: str) -> DataFrame
     return elements.groupBy(key).agg(F.concat(F.lit(f"<{root}>"), body, F.lit(f"</{root}>")).alias("xml"))
 
 
-def html_list(df: DataFrame, order: str, text: str) -> DataFrame:
-    """The rows as one HTML list, in order (K5)."""
-    item = F.concat(F.lit("<li>"), F.col(text), F.lit("</li>"))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, item.alias("li")))), lambda x: x["li"]), "\n")
-    return df.agg(F.concat(F.lit("<ul>\n"), body, F.lit("\n</ul>")).alias("html"))
+def html_list_lines(df: DataFrame, order: str, text: str) -> DataFrame:
+    """The rows as lines of an HTML list: place (as ordered; the list's own tags have none), line (K5). Sort by ``part``, then place."""
+    items = df.select(F.lit(1).alias("part"), F.col(order).alias("place"), F.concat(F.lit("<li>"), xml_escape(F.coalesce(text, F.lit(""))), F.lit("</li>")).alias("line"))
+    tags = df.sparkSession.createDataFrame([(0, "<ul>"), (2, "</ul>")], "part int, line string")
+    return items.unionByName(tags, allowMissingColumns=True)
 
 
 def folder_manifests(files: DataFrame, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from archivolt.functions import paths
@@ -239,3 +240,51 @@ def small_expressions(spark, d):
         "record_id", paths.caption_extension(F.coalesce("file_extension", F.lit(""))).alias("caption"), F.date_format(time, "yyyyMMddHHmmss").alias("stamp"),
         *[F.lit(paths.digest_kind(h)).alias(n) for h, n in (("MD5 checksum", "md5_kind"), ("SHA256 checksum", "sha256_kind"), ("checksum", "other_kind"))], paths.without_controls(F.col("dc_description")).alias("clean"),
     )
+
+
+@query("SELECT CAST(1 AS INT) AS part, record_id AS place, '<li>' || replace(replace(replace(coalesce(entity_title, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</li>' AS line FROM metadata_export UNION ALL SELECT 0, NULL, '<ul>' UNION ALL SELECT 2, NULL, '</ul>'")
+def html_titles(spark, d):
+    """K5: titles as the lines of an HTML list."""
+    return pivot.html_list_lines(table(spark, d, "metadata_export"), "record_id", "entity_title")
+
+
+@query("SELECT ref, CAST(row_number() OVER (PARTITION BY parent ORDER BY lower(title) NULLS FIRST, ref) AS INT) AS place FROM entity_folder")
+def folders_in_order(spark, d):
+    """O3: places of sibling folders without regard to case."""
+    order = report.casefold_order("title", "ref")
+    return table(spark, d, "entity_folder").select("ref", F.row_number().over(Window.partitionBy("parent").orderBy(*order)).alias("place"))
+
+
+@query("SELECT record_id, entity_title || '<>' || replace(replace(replace(entity_title, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS change FROM metadata_export WHERE entity_title <> replace(replace(replace(entity_title, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') UNION ALL SELECT record_id, icaew_content_type || '<>' || replace(replace(replace(icaew_content_type, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') FROM metadata_export WHERE icaew_content_type <> replace(replace(replace(icaew_content_type, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')")
+def escape_changes(spark, d):
+    """what escaping changes, cell by cell."""
+    rows = table(spark, d, "metadata_export")
+    part = lambda c: rows.select("record_id", pivot.xml_changes(F.col(c)).alias("change"))
+    return part("entity_title").unionByName(part("icaew_content_type")).where("change IS NOT NULL")
+
+
+@query("SELECT asset_id, arg_max(record_id, record_id) AS record_id, arg_max(load_id, record_id) AS load_id FROM metadata_export GROUP BY ALL")
+def last_delivery(spark, d):
+    """A5: the last row per key."""
+    rows = table(spark, d, "metadata_export").select("asset_id", "load_id", "record_id", F.col("record_id").alias("pos"))
+    return merge.last_row(rows, ["asset_id"], "pos").select("asset_id", "record_id", "load_id")
+
+
+@query("SELECT '{broken ' || event_id AS line FROM events WHERE event_type = 'error'")
+def unreadable_pages(spark, d):
+    """Lines of a page list that can't be read."""
+    path = scratch_path(spark, "pages")
+    ok = F.to_json(F.struct(F.concat(F.lit("https://e.example/"), F.col("event_id").cast("string")).alias("url")))
+    line = F.when(F.col("event_type") == "error", F.concat(F.lit("{broken "), F.col("event_id").cast("string"))).otherwise(ok)
+    sinks.write_lines(table(spark, d, "events").select(line.alias("x")), "x", path)
+    return text_files.unreadable_lines(spark, path).select("line")
+
+
+@query(
+    """SELECT record_id, CAST(row_number() OVER w AS INT) AS row_in_asset, CASE WHEN row_number() OVER w = 1 THEN dc_title ELSE '' END AS dc_title
+FROM metadata_export WHERE content_ord IS NOT NULL WINDOW w AS (PARTITION BY asset_id ORDER BY coalesce(file_extension = 'pdf', false) DESC, record_id)"""
+)
+def bitstream_sheet(spark, d):
+    """Export rows of assets: the first bitstream's row is full, later ones have blank descriptive cells."""
+    rows = table(spark, d, "metadata_export").where("content_ord IS NOT NULL").withColumn("original", F.coalesce(F.col("file_extension") == "pdf", F.lit(False)))
+    return fixity.bitstream_rows(rows, "asset_id", "record_id", "original", ["dc_title"]).select("record_id", "row_in_asset", "dc_title")

@@ -112,6 +112,13 @@ def page_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE).json(path).where("url IS NOT NULL")
 
 
+def unreadable_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Filled lines of a JSONL page list that aren't JSON objects: file, line."""
+    rows = spark.read.text(path).select(F.regexp_replace(F.input_file_name(), r"^.*/", "").alias("file"), F.col("value").alias("line"))
+    parsed = F.from_json("line", "url string, format string, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    return rows.where(F.trim("line") != "").where(F.coalesce(parsed["_bad"].isNotNull(), F.lit(True)))
+
+
 def without_text(pages: DataFrame) -> DataFrame:
     """Page entries without their text, flagged accordingly where a flag is there (P25)."""
     out = pages.drop("text")

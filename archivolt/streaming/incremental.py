@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +45,10 @@ def monitor_snapshot(spark: SparkSession, latest: DataFrame, key: str, path: str
 
     Snapshots are numbered folders, so one that is being written is never read.
     """
-    versions = sorted(int(v[1:]) for v in os.listdir(path) if v[0] == "v" and os.path.exists(f"{path}/{v}/_SUCCESS")) if os.path.isdir(path) else []
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(at(path))] if fs.exists(at(path)) else []
+    versions = sorted(int(v[1:]) for v in names if v[:1] == "v" and v[1:].isdigit() and fs.exists(at(f"{path}/{v}/_SUCCESS")))
     keys = latest.select(key).distinct()
     if not versions:
         keys.write.parquet(f"{path}/v1")
@@ -57,12 +59,6 @@ def monitor_snapshot(spark: SparkSession, latest: DataFrame, key: str, path: str
     return diff
 
 
-def latest_attempt(log: DataFrame, key: str, pos: str) -> DataFrame:
-    """Of an append-only log the last entry per key."""
-    rest = [c for c in log.columns if c != key]
-    return log.groupBy(key).agg(F.max_by(F.struct(*rest), pos).alias("_r")).select(key, "_r.*")
-
-
 def windowed_counts(events: DataFrame, ts: str, kind: str, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Rows and sums per tumbling window and kind; works on a stream (with a watermark) and on a table. An extension."""
     source = events.withWatermark(ts, late) if events.isStreaming else events
