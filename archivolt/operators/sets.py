@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from archivolt.session import cut
+
 
 def snapshot_diff(latest: DataFrame, previous: DataFrame, key: str) -> DataFrame:
     """Keys of only one of two snapshots with ``change``: added or removed (U1, I1). One shuffle for both directions."""
@@ -114,9 +116,16 @@ def dedupe_members(members: DataFrame, path: str, shard: str) -> DataFrame:
 
 
 def number_repeats(df: DataFrame, name: str, pos: str) -> DataFrame:
-    """Names made unique: the n-th repetition becomes stem_n with its extension."""
-    from pyspark.sql import Window
+    """Names made unique: the n-th repetition becomes stem_n with its extension (A12). Null names stay null.
 
-    n = F.row_number().over(Window.partitionBy(name).orderBy(pos)) - 1
+    Rows are numbered within ranges of (name, position), which split a frequent name, and shifted by the ranges before.
+    """
+    ranged = df.repartitionByRange(name, pos).withColumn("_part", F.spark_partition_id())
+    # the split into ranges is drawn anew whenever it is computed, so it must be kept
+    placed = cut(ranged.withColumn("_i", F.row_number().over(Window.partitionBy("_part", name).orderBy(pos)) - 1))
+    sizes = placed.groupBy(F.col(name).alias("_name"), F.col("_part").alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    shift = sizes.withColumn("_shift", F.sum("_n").over(Window.partitionBy("_name").orderBy("_p")) - F.col("_n")).drop("_n")
+    numbered = placed.join(shift, placed[name].eqNullSafe(shift["_name"]) & (placed["_part"] == shift["_p"])).withColumn("_n", F.col("_i") + F.col("_shift"))
     stem, ext = F.regexp_replace(name, r"\.[^.]*$", ""), F.regexp_extract(name, r"(\.[^.]*)$", 1)
-    return df.withColumn("_n", n).withColumn("unique_name", F.when(F.col("_n") == 0, F.col(name)).otherwise(F.concat(stem, F.lit("_"), "_n", ext))).drop("_n")
+    unique = F.when(F.col("_n") == 0, F.col(name)).otherwise(F.concat(stem, F.lit("_"), F.col("_n").cast("string"), ext))
+    return numbered.withColumn("unique_name", unique).select(*df.columns, "unique_name")
