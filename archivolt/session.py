@@ -20,6 +20,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "4g")  # one process holds the executors, too; 1 GB is short for a whole test run
         .getOrCreate()
     )
 
